@@ -52,13 +52,13 @@ def _query_terms(queries: DataFrame, query_id: str, text: str) -> DataFrame:
 
 def bm25_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "chunk_id",
                query_id: str = "query_id", query_text: str = "query",
-               lexicon: DataFrame | None = None, k1: float = K1, b: float = B,
-               max_queries: int = MAX_QUERY_ROWS) -> DataFrame:
+               lexicon: DataFrame | None = None, size: tuple[int, float] | None = None,
+               k1: float = K1, b: float = B, max_queries: int = MAX_QUERY_ROWS) -> DataFrame:
     """The ``k`` best rows per query: ``query_id, <key>, score, rank``.
 
     ``rows`` needs the key and ``tokens``. Term statistics come from ``lexicon``
-    (:func:`document_frequency`) when given, else from one pass over ``rows``. A batch
-    with too many queries or terms is answered by :func:`bm25_joined`. A query without a
+    (:func:`document_frequency`) and ``size`` (:func:`corpus_size`) when given, else from
+    passes over ``rows``. A batch with too many queries or terms is answered by :func:`bm25_joined`. A query without a
     match has no rows.
     """
     wanted = _query_terms(queries, query_id, query_text).limit(max_queries + 1).collect()
@@ -66,10 +66,10 @@ def bm25_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "chu
     if len(wanted) > max_queries or len(terms) * len(wanted) > MAX_WEIGHTS:
         return bm25_joined(rows, queries, k, key, query_id, query_text, lexicon, k1, b)
     spark = rows.sparkSession
-    n, average = corpus_size(rows)
-    term_rows = spark.createDataFrame([(t,) for t in terms], "term string")
+    n, average = size or corpus_size(rows)
+    term_rows = F.broadcast(spark.createDataFrame([(t,) for t in terms], "term string"))
     known = (document_frequency_of(rows, term_rows) if lexicon is None
-             else lexicon.join(F.broadcast(term_rows), "term"))
+             else lexicon.join(term_rows, "term"))
     df = {r.term: r.df for r in known.collect()}
     vocabulary = [t for t in terms if t in df]
     number = {t: i for i, t in enumerate(vocabulary)}
@@ -109,7 +109,7 @@ def bm25_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "chu
 def document_frequency_of(rows: DataFrame, term_rows: DataFrame) -> DataFrame:
     """Document frequency of a bounded set of terms."""
     return (rows.select(F.explode(F.array_distinct("tokens")).alias("term"))
-            .join(F.broadcast(term_rows), "term")
+            .join(term_rows, "term")
             .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
 
 

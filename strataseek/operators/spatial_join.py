@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 
 from strataseek.functions import geo
 from strataseek.operators.skew import balanced_join
-from strataseek.session import BROADCAST_LIMIT_BYTES
+from strataseek.session import BROADCAST_LIMIT_BYTES, cut_lineage, has_work_folder
 
-# A box side spans at least this many cells of its level and at most four times as many.
-_MIN_CELLS_PER_SIDE = 2
+# The longer box side spans at least this many cells of its level and at most four times
+# as many; polygons with many edges get the finer grid.
+_CELLS_PER_SIDE = 2
+_CELLS_PER_SIDE_DETAILED = 4
+_DETAILED_EDGES = 64
 _SMALLEST_SIDE = 1e-7
 
 POLYGON_KEY = "polygon_id"
@@ -40,11 +43,13 @@ def with_geometry(polygons: DataFrame, wkt: str, rings: str = "__rings") -> Data
     """Parse WKT once and add rings, edges, box and grid level; bad text gives nulls."""
     side = F.greatest(F.col("__box.max_x") - F.col("__box.min_x"),
                       F.col("__box.max_y") - F.col("__box.min_y"), F.lit(_SMALLEST_SIDE))
+    least = F.when(F.size("__edges") < _DETAILED_EDGES, _CELLS_PER_SIDE).otherwise(
+        _CELLS_PER_SIDE_DETAILED)
     return (polygons.withColumn(rings, geo.st_rings(wkt))
             .withColumn("__edges", geo.st_edges(rings))
             .withColumn("__box", geo.st_box(rings))
             .withColumn("__level", F.floor(
-                F.log(4.0, side / _MIN_CELLS_PER_SIDE)).cast("int")))
+                F.log(4.0, side / least)).cast("int")))
 
 
 def _cover(box: str, size: Column) -> Column:
@@ -110,9 +115,12 @@ def point_in_polygon_join(points: DataFrame, polygons: DataFrame, wkt: str, keys
     Returns the point columns plus the polygon ``keys``. Points on a boundary are
     matched only with ``boundary=True``. Polygons with unparseable text never match.
     A point lies in exactly one cell per level and a polygon has one level, so no
-    pair appears twice.
+    pair appears twice. The polygon index is written once to the shared folder (when one
+    is set), so its size is known and no polygon is parsed twice.
     """
     cells = polygon_cells(polygons, wkt, keys)
+    if has_work_folder(cells.sparkSession):
+        cells = cut_lineage(cells, "polygon-cells")
     size = cells.agg(F.collect_set("level"), F.sum(F.lit(128) + F.size("edges") * 48)).first()
     levels, cell_bytes = sorted(size[0]), size[1]
     if not levels:

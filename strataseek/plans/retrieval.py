@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
+from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.ml.clustering import KMeansModel
 
 from strataseek.functions.text import preview
 from strataseek.functions.vectors import hashing_embedding
-from strataseek.operators.fulltext import bm25_top_k, normalise_scores
+from strataseek.operators.fulltext import bm25_top_k, corpus_size, normalise_scores
 from strataseek.operators.hybrid import RANK_WINDOW, count_keyword_matches, fuse_ranks
 from strataseek.operators.vector_search import exact_top_k, ivf_top_k
 
@@ -21,13 +22,18 @@ RESULT_COLUMNS = ["query_id", "method", "rank", "chunk_id", "file_name", "text",
 @dataclass
 class SearchIndex:
     """Index rows (``chunk_id, file_name, chunk_text, tokens, embedding``), an optional
-    lexicon, and centroids when the rows carry a ``cell`` column."""
+    lexicon, and centroids when the rows carry a ``cell`` column. The corpus size is
+    read once and kept."""
 
     rows: DataFrame
     lexicon: DataFrame | None = None
     centroids: KMeansModel | None = None
     probes: int | None = None
 
+    @cached_property
+    def size(self) -> tuple[int, float]:
+        return corpus_size(self.rows)
+
 
 def embed_queries(queries: DataFrame, dim: int = 64) -> DataFrame:
     """Add ``query_vector`` with the same embedder as the chunks."""
@@ -41,7 +47,7 @@ def vector_list(index: SearchIndex, queries: DataFrame, k: int) -> DataFrame:
 
 
 def keyword_list(index: SearchIndex, queries: DataFrame, k: int) -> DataFrame:
-    return bm25_top_k(index.rows, queries, k, lexicon=index.lexicon)
+    return bm25_top_k(index.rows, queries, k, lexicon=index.lexicon, size=index.size)
 
 
 def search(index: SearchIndex, queries: DataFrame, query_type: str = "ANN",

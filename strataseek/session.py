@@ -23,6 +23,7 @@ def build_session(app_name: str, cores: int | str = "*", shuffle_partitions: int
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -34,9 +35,18 @@ def build_session(app_name: str, cores: int | str = "*", shuffle_partitions: int
     return spark
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def has_work_folder(spark: SparkSession) -> bool:
+    """Whether a shared folder is named, or the session is a local one."""
+    return bool(_named_folder(spark)) or spark.sparkContext.master.startswith("local")
+
+
+def _named_folder(spark: SparkSession) -> str | None:
     conf = spark.sparkContext.getConf()
-    named = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
+    return spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    named = _named_folder(spark)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -64,6 +74,16 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_rows(df: DataFrame, key: str) -> DataFrame:
+    """Hash a table that Spark reads in fewer splits than cores over all cores.
+
+    For CPU-heavy steps on small inputs; a table with more splits than cores, so any
+    large one, is left as it is and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() <= cores else df
+
+
 def measured_bytes(df: DataFrame, row_bytes: Column) -> int:
     """Total of ``row_bytes`` over the rows, computed on the cluster."""
     return int(df.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0])

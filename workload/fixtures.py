@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataseek.session import spread_rows
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -118,7 +120,7 @@ def bronze_rows(documents: DataFrame) -> DataFrame:
 
 
 def bronze_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_rows(table(spark, sf_dir, "documents"))
+    return bronze_rows(spread_rows(table(spark, sf_dir, "documents"), "doc_id"))
 
 
 def query_set(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,15 +79,18 @@ def vector_text(vector: Column) -> Column:
 # ---------------------------------------------------------------- shared inputs
 
 def silver_events_table(spark, sf_dir):
-    return medallion.silver_events(fx.earthquakes_raw(spark, sf_dir))
+    return landing.shared(spark, sf_dir, "silver-events", lambda: medallion.silver_events(
+        fx.earthquakes_raw(spark, sf_dir)))
 
 
 def silver_states_table(spark, sf_dir):
-    return medallion.silver_states(fx.states_raw(spark, sf_dir))
+    return landing.shared(spark, sf_dir, "silver-states", lambda: medallion.silver_states(
+        fx.states_raw(spark, sf_dir)))
 
 
 def silver_counties_table(spark, sf_dir):
-    return medallion.silver_counties(fx.counties_raw(spark, sf_dir))
+    return landing.shared(spark, sf_dir, "silver-counties", lambda: medallion.silver_counties(
+        fx.counties_raw(spark, sf_dir)))
 
 
 def chunk_rows(spark, sf_dir):
@@ -276,17 +279,17 @@ def change_feed_diff(spark, sf_dir):
 
 @query
 def silver_events(spark, sf_dir):
-    return flat(silver_events_table(spark, sf_dir))
+    return flat(medallion.silver_events(fx.earthquakes_raw(spark, sf_dir)))
 
 
 @query
 def silver_states(spark, sf_dir):
-    return flat(silver_states_table(spark, sf_dir), 6)
+    return flat(medallion.silver_states(fx.states_raw(spark, sf_dir)), 6)
 
 
 @query
 def silver_counties(spark, sf_dir):
-    return flat(silver_counties_table(spark, sf_dir), 6)
+    return flat(medallion.silver_counties(fx.counties_raw(spark, sf_dir)), 6)
 
 
 @query
