@@ -14,6 +14,7 @@ import time
 
 os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
 
+import pyarrow as pa  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from strataseek.operators.fulltext import document_frequency  # noqa: E402
@@ -47,8 +48,7 @@ def latencies(index, queries, kind: str) -> list[float]:
     spark = index.rows.sparkSession
     out = []
     for row in queries[:SINGLE_QUERIES]:
-        one = spark.createDataFrame([row], "query_id bigint, query string, "
-                                           "query_vector array<double>")
+        one = spark.createDataFrame(pa.Table.from_pylist([row]))
         out.append(1000 * timed(lambda: search(index, one, kind, 10).collect()))
     return out
 
@@ -75,7 +75,7 @@ def main() -> None:
     chunks = index.size[0]
     queries = embed_queries(fx.query_set(spark, sf_dir)).select(
         "query_id", "query", "query_vector")
-    rows = [tuple(r) for r in queries.collect()]
+    rows = queries.toArrow().to_pylist()
     search_figures = {}
     for kind in ("ANN", "FULL_TEXT", "HYBRID"):
         times = latencies(index, rows, kind)

@@ -39,12 +39,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def number_text(value: Column | str) -> Column:
     """Shortest plain decimal text: no trailing ``.0`` and no exponent."""
-    v = _column(value).cast("double")
-    size = F.abs(v)
-    plain = (size == 0) | ((size >= 1e-3) & (size < 1e7))
-    wide = F.regexp_replace(v.cast("decimal(38,18)").cast("string"), r"(\.[0-9]*?)0+$", "$1")
-    text = F.when(plain, v.cast("string")).otherwise(wide)
-    return F.regexp_replace(F.regexp_replace(text, r"\.0?$", ""), r"^-0$", "0")
+    v = _column(value).cast("double") + 0.0  # -0.0 becomes 0.0
+    text = v.cast("string")
+    wide = F.regexp_replace(v.cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    short = F.rtrim(F.replace(F.concat(text, F.lit(" ")), F.lit(".0 "), F.lit(" ")))
+    return F.when(F.contains(text, F.lit("E")), wide).otherwise(short)
 
 
 def st_point(x: Column | str, y: Column | str) -> Column:
@@ -62,7 +61,23 @@ def st_y(point: Column | str) -> Column:
 
 
 def point_wkt(x: Column | str, y: Column | str) -> Column:
-    return F.concat(F.lit("POINT("), number_text(x), F.lit(" "), number_text(y), F.lit(")"))
+    """``POINT(x y)`` text, without a regular expression unless a number has an exponent."""
+    x, y = _column(x).cast("double") + 0.0, _column(y).cast("double") + 0.0
+
+    def written(a: Column, b: Column) -> Column:
+        return F.concat(F.lit("POINT("), a, F.lit(" "), b, F.lit(")"))
+
+    text = written(x.cast("string"), y.cast("string"))
+    short = F.replace(F.replace(text, F.lit(".0 "), F.lit(" ")), F.lit(".0)"), F.lit(")"))
+    return F.when(F.contains(text, F.lit("E")), written(number_text(x), number_text(y))) \
+        .otherwise(short)
+
+
+def geography_wkt(lon: Column | str, lat: Column | str) -> Column:
+    """Text of a geographic point; null unless lon/lat are in range. The same text as
+    parsing and printing the point, since number text converts back without loss."""
+    lon, lat = _column(lon), _column(lat)
+    return F.when(lon.between(-180.0, 180.0) & lat.between(-90.0, 90.0), point_wkt(lon, lat))
 
 
 def st_point_from_text(wkt: Column | str) -> Column:

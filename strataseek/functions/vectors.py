@@ -23,6 +23,11 @@ def token_bucket(token: Column | str, dim: int) -> Column:
 
 def hashing_embedding(text: Column | str, dim: int = 64) -> Column:
     """Unit-length vector of token-bucket counts; the zero vector when no token exists."""
+    return token_embedding(tokens(text), dim)
+
+
+def token_embedding(token_list: Column | str, dim: int = 64) -> Column:
+    """:func:`hashing_embedding` of text that is already split into tokens."""
     def scaled(counts: Column) -> Column:
         return let(
             F.sqrt(F.aggregate(counts, F.lit(0.0), lambda s, c: s + c * c)),
@@ -33,7 +38,7 @@ def hashing_embedding(text: Column | str, dim: int = 64) -> Column:
             F.sequence(F.lit(0), F.lit(dim - 1)),
             lambda b: (F.size(buckets) - F.size(F.array_remove(buckets, b))).cast("double"))
 
-    buckets = F.transform(tokens(text), lambda t: token_bucket(t, dim))
+    buckets = F.transform(_column(token_list), lambda t: token_bucket(t, dim))
     return let(let(buckets, counted), scaled)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from strataseek.functions.vectors import hashing_embedding, is_zero_vector
+from strataseek.functions.vectors import hashing_embedding, is_zero_vector, token_embedding
 
 # Texts per model call.
 BATCH_TEXTS = 100
@@ -17,8 +17,11 @@ BATCH_TEXTS = 100
 
 def embed_hashing(df: DataFrame, text: str = "chunk_text", out: str = "embedding",
                   dim: int = 64) -> DataFrame:
-    """Hashed bag-of-words vectors; ``embedding_ok`` is false for a text without tokens."""
-    return (df.withColumn(out, hashing_embedding(text, dim))
+    """Hashed bag-of-words vectors; ``embedding_ok`` is false for a text without tokens.
+    A ``tokens`` column is used when there is one."""
+    vector = (token_embedding("tokens", dim) if "tokens" in df.columns
+              else hashing_embedding(text, dim))
+    return (df.withColumn(out, vector)
             .withColumn("embedding_ok", ~is_zero_vector(out)))
 
 

@@ -26,6 +26,8 @@ B = 0.75
 # Size of the (term, query) weight matrix that may be sent to the tasks; above it
 # terms are joined.
 MAX_WEIGHTS = 8_000_000
+# Up to this many query terms, tokens are filtered before they go to Python.
+FEW_TERMS = 200
 
 
 def with_tokens(rows: DataFrame, text: str = "chunk_text") -> DataFrame:
@@ -67,7 +69,8 @@ def bm25_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "chu
         return bm25_joined(rows, queries, k, key, query_id, query_text, lexicon, k1, b)
     spark = rows.sparkSession
     n, average = size or corpus_size(rows)
-    term_rows = F.broadcast(spark.createDataFrame([(t,) for t in terms], "term string"))
+    term_rows = F.broadcast(spark.createDataFrame(
+        pa.table({"term": pa.array(terms, type=pa.string())})))
     known = (document_frequency_of(rows, term_rows) if lexicon is None
              else lexicon.join(term_rows, "term"))
     df = {r.term: r.df for r in known.collect()}
@@ -82,11 +85,9 @@ def bm25_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "chu
     lookup = pa.array(vocabulary, type=pa.string())
 
     def scorer(batch: pa.RecordBatch):
-        lists = batch.column(1)
-        ends = lists.offsets.to_numpy()
-        lengths = np.diff(ends)
+        lists, lengths = batch.column(1), batch.column(2).to_numpy()
         found = pc.index_in(lists.flatten(), value_set=lookup)
-        owner = np.repeat(np.arange(len(lengths)), lengths)
+        owner = np.repeat(np.arange(len(lengths)), np.diff(lists.offsets.to_numpy()))
         hit = found.is_valid().to_numpy(zero_copy_only=False)
         owner, term = owner[hit], found.drop_null().to_numpy()
         every = np.arange(weights.shape[1])
@@ -99,7 +100,11 @@ def bm25_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "chu
             scores = gain @ weights
             yield part, every, np.where(scores > 0, scores, np.nan)
 
-    corpus = rows.select(key, "tokens").filter(F.size("tokens") > 0)
+    # with few terms only the tokens that can score leave the JVM
+    hits = (F.filter("tokens", lambda t: t.isin(vocabulary)) if 0 < width <= FEW_TERMS
+            else F.col("tokens"))
+    corpus = (rows.select(key, hits.alias("hits"), F.size("tokens").alias("length"))
+              .filter(F.size("hits") > 0))
     if not vocabulary:
         corpus = corpus.filter(F.lit(False))
     return scan_top_k(corpus, scorer, [r.query_id for r in wanted],

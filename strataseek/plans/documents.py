@@ -27,10 +27,15 @@ def bronze_papers(files: DataFrame, source_url=None, ingested_at=None) -> DataFr
 
 
 def silver_clean(bronze: DataFrame, content: str = "raw_content") -> DataFrame:
-    """Cleaned documents that are longer than the minimum after cleaning."""
-    return (bronze.select("file_name", "source_url", "ingestion_timestamp",
-                          text.clean_text(content).alias("cleaned_content"))
-            .filter(F.length("cleaned_content") > MIN_CONTENT_LENGTH))
+    """Cleaned documents that are longer than the minimum after cleaning.
+
+    The length test runs inside the generator: as a plain filter it would be pushed below
+    the projection and every text would be cleaned twice.
+    """
+    kept = F.filter(F.array(text.clean_text(content)),
+                    lambda c: F.length(c) > MIN_CONTENT_LENGTH)
+    return bronze.select("file_name", "source_url", "ingestion_timestamp",
+                         F.explode(kept).alias("cleaned_content"))
 
 
 def silver_chunks(clean: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
@@ -83,6 +88,6 @@ def index_rows(bronze: DataFrame, embed=embed_hashing) -> DataFrame:
     first, as the index key asks.
     """
     chunks = silver_chunks(silver_clean(bronze), distinct=True)
-    return with_tokens(embed(chunks)).select(
+    return embed(with_tokens(chunks)).select(
         "chunk_id", "file_name", "chunk_text", "chunk_position", "chunk_length",
         "tokens", "embedding")

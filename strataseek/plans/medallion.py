@@ -25,14 +25,12 @@ def valid_events(raw: DataFrame) -> DataFrame:
 def with_event_columns(events: DataFrame) -> DataFrame:
     """Silver columns of clean events: timestamp, date and WKT points."""
     stamp = F.timestamp_millis("event_time")
-    geography = geo.st_geography_from_text(geo.point_wkt("longitude", "latitude"))
     return (events.withColumn("event_timestamp", stamp)
             .select("event_id", "event_timestamp",
                     F.to_date("event_timestamp").alias("event_date"),
                     "latitude", "longitude", "depth_km", "magnitude", "place",
                     geo.point_wkt("longitude", "latitude").alias("location_point"),
-                    geo.let(geography, lambda p: geo.point_wkt(p["x"], p["y"]))
-                    .alias("location_geography")))
+                    geo.geography_wkt("longitude", "latitude").alias("location_geography")))
 
 
 def silver_events(raw: DataFrame) -> DataFrame:

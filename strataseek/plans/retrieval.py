@@ -13,9 +13,13 @@ from strataseek.functions.text import preview
 from strataseek.functions.vectors import hashing_embedding
 from strataseek.operators.fulltext import bm25_top_k, corpus_size, normalise_scores
 from strataseek.operators.hybrid import RANK_WINDOW, count_keyword_matches, fuse_ranks
+from strataseek.operators.topk import MAX_QUERY_ROWS
 from strataseek.operators.vector_search import exact_top_k, ivf_top_k
+from strataseek.session import held_locally
 
 METHODS = ("ANN", "Full-Text", "Hybrid")
+# Result lists up to this length are looked up by key.
+LOOKUP_ROWS = 1000
 RESULT_COLUMNS = ["query_id", "method", "rank", "chunk_id", "file_name", "text", "score"]
 
 
@@ -66,6 +70,8 @@ def search(index: SearchIndex, queries: DataFrame, query_type: str = "ANN",
     missing = needs[kind] - set(queries.columns)
     if missing:
         raise ValueError(f"{kind} search needs the columns {sorted(missing)}")
+    wanted = held_locally(queries, MAX_QUERY_ROWS)
+    queries = queries if wanted is None else wanted
     if kind == "ANN":
         found = vector_list(index, queries, num_results)
     elif kind == "FULL_TEXT":
@@ -73,16 +79,32 @@ def search(index: SearchIndex, queries: DataFrame, query_type: str = "ANN",
     else:
         found = fuse_ranks(vector_list(index, queries, rank_window),
                            keyword_list(index, queries, rank_window), num_results)
-        if "keywords" in queries.columns:
-            found = count_keyword_matches(found, queries, index.rows)
-    return attach(found, index.rows, columns)
+    keywords = kind == "HYBRID" and "keywords" in queries.columns
+    stored = tuple(dict.fromkeys([*columns, *(["chunk_text"] if keywords else [])]))
+    result = attach(found, index.rows, stored, bounded=wanted is not None)
+    if keywords:
+        result = count_keyword_matches(result, queries)
+    return result.drop(*(set(stored) - set(columns)))
 
 
-def attach(found: DataFrame, rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Join stored columns to the results; only result rows (k per query) take part."""
+def attach(found: DataFrame, rows: DataFrame, columns: tuple[str, ...],
+           bounded: bool) -> DataFrame:
+    """Join stored columns to the results.
+
+    The results of a bounded query batch are at most k rows per query. A short list is
+    looked up by key, which Parquet can answer from the row groups that hold the keys;
+    a longer one is broadcast. An unbounded one is left to Spark's own choice.
+    """
     if not columns:
         return found
-    return found.join(rows.select("chunk_id", *columns), "chunk_id", "left")
+    stored = rows.select("chunk_id", *columns)
+    if not bounded:
+        return found.join(stored, "chunk_id")
+    short = held_locally(found, LOOKUP_ROWS)
+    if short is None:
+        return stored.join(F.broadcast(found), "chunk_id")
+    keys = sorted({r.chunk_id for r in short.select("chunk_id").collect()})
+    return stored.filter(F.col("chunk_id").isin(keys)).join(F.broadcast(short), "chunk_id")
 
 
 def as_results(found: DataFrame, method: str, score: str = "score") -> DataFrame:

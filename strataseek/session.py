@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 _local_work_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app_name: str, cores: int | str = "*", shuffle_partitions: int = 8,
@@ -32,9 +35,25 @@ def build_session(app_name: str, cores: int | str = "*", shuffle_partitions: int
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Needed for the few operators that run Python in tasks when the package is not
+    installed on the cluster.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        here = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="strataseek-package-"), "strataseek")
+        spark.sparkContext.addPyFile(shutil.make_archive(
+            target, "zip", os.path.dirname(here), os.path.basename(here)))
+        _shipped.add(app)
+
+
 def has_work_folder(spark: SparkSession) -> bool:
     """Whether a shared folder is named, or the session is a local one."""
     return bool(_named_folder(spark)) or spark.sparkContext.master.startswith("local")
@@ -84,6 +103,17 @@ def spread_rows(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() <= cores else df
 
 
+def held_locally(df: DataFrame, max_rows: int) -> DataFrame | None:
+    """The rows of ``df`` as a local table, or None when there are more than ``max_rows``.
+
+    Planning a bounded query batch several times then needs no job for its rows.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def measured_bytes(df: DataFrame, row_bytes: Column) -> int:
     """Total of ``row_bytes`` over the rows, computed on the cluster."""
     return int(df.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0])

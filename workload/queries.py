@@ -21,7 +21,7 @@ from strataseek.operators.vector_search import (assign_cells, exact_top_k, ivf_t
                                                 recall_at_k, train_cells)
 from strataseek.plans import dashboards, documents, medallion, searchbench
 from strataseek.plans.retrieval import SearchIndex, embed_queries, search, search_all_methods
-from strataseek.session import work_path
+from strataseek.session import ship_package, work_path
 from strataseek.sinks import tables as sinks
 from strataseek.sources import boundaries, events as event_source, files, papers
 from strataseek.streaming import index_upkeep, monitor
@@ -39,6 +39,7 @@ def query(function: Query) -> Query:
     @functools.wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship_package(spark)
         return function(spark, sf_dir)
 
     _QUERIES[function.__name__] = run
