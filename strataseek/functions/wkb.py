@@ -124,8 +124,9 @@ def rings_from_wkb(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def wkt_to_wkb(wkt: Column | str) -> Column:
-    return rings_wkb(geo.st_rings(wkt))
+    return rings_wkb(geo.st_rings(wkt)).alias("wkb")
 
 
 def wkb_to_wkt(wkb: Column | str) -> Column:
-    return geo.rings_wkt(rings_from_wkb(F.col(wkb) if isinstance(wkb, str) else wkb))
+    rings = rings_from_wkb(F.col(wkb) if isinstance(wkb, str) else wkb)
+    return geo.rings_wkt(rings).alias("wkt")

@@ -109,7 +109,7 @@ def _tiled_top_k(corpus, queries, k, metric, key, vector, query_id, query_vector
 
     def product(rows, wanted):
         wanted = wanted[wanted["query_vector"].notna()]
-        out = {"query_id": [], key: [], "score": []}
+        ids, which, found, keys = [], [], [], []
         if len(wanted):
             goal = np.stack(wanted["query_vector"].to_numpy()).astype(np.float64)
             rows = rows[rows[vector].map(len) == goal.shape[1]]
@@ -124,8 +124,9 @@ def _tiled_top_k(corpus, queries, k, metric, key, vector, query_id, query_vector
                     fine = np.isfinite(scores[:, j])
                     best.offer(j, scores[fine, j], names[part][fine])
             which, found, keys = best.rows()
-            out = {"query_id": [ids[i] for i in which], key: keys.tolist(), "score": found}
-        return pd.DataFrame(out)
+        return pd.DataFrame({"query_id": pd.Series([ids[i] for i in which], dtype=object),
+                             key: pd.Series(list(keys), dtype=object),
+                             "score": pd.Series(found, dtype="float64")})
 
     schema = T.StructType([T.StructField("query_id", query_type), T.StructField(key, key_type),
                            T.StructField("score", T.DoubleType())])

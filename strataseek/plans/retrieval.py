@@ -81,28 +81,28 @@ def search(index: SearchIndex, queries: DataFrame, query_type: str = "ANN",
                            keyword_list(index, queries, rank_window), num_results)
     keywords = kind == "HYBRID" and "keywords" in queries.columns
     stored = tuple(dict.fromkeys([*columns, *(["chunk_text"] if keywords else [])]))
-    result = attach(found, index.rows, stored, bounded=wanted is not None)
+    most = None if wanted is None else wanted.count() * num_results
+    result = attach(found, index.rows, stored, most)
     if keywords:
         result = count_keyword_matches(result, queries)
     return result.drop(*(set(stored) - set(columns)))
 
 
 def attach(found: DataFrame, rows: DataFrame, columns: tuple[str, ...],
-           bounded: bool) -> DataFrame:
-    """Join stored columns to the results.
+           most: int | None) -> DataFrame:
+    """Join stored columns to a result list of at most ``most`` rows.
 
-    The results of a bounded query batch are at most k rows per query. A short list is
-    looked up by key, which Parquet can answer from the row groups that hold the keys;
-    a longer one is broadcast. An unbounded one is left to Spark's own choice.
+    A short list is looked up by key, which Parquet can answer from the row groups that
+    hold the keys; a longer one is broadcast. With an unknown bound Spark chooses.
     """
     if not columns:
         return found
     stored = rows.select("chunk_id", *columns)
-    if not bounded:
+    if most is None:
         return found.join(stored, "chunk_id")
-    short = held_locally(found, LOOKUP_ROWS)
-    if short is None:
+    if most > LOOKUP_ROWS:
         return stored.join(F.broadcast(found), "chunk_id")
+    short = held_locally(found, LOOKUP_ROWS)
     keys = sorted({r.chunk_id for r in short.select("chunk_id").collect()})
     return stored.filter(F.col("chunk_id").isin(keys)).join(F.broadcast(short), "chunk_id")
 
