@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from strataseek.functions.geo import let
 
 # Fixed value: the characters Python's str.strip() removes.
-STRIP_CHARS = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0 "
-               "           "
-               "    　")
+STRIP_CHARS = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+               "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+               "\u2028\u2029\u202f\u205f\u3000")
 # A chunk may end after one of these, up to this far before its limit.
 SENTENCE_ENDS = ".!?\n"
 LOOK_BACK = 100

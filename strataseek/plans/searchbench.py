@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataseek.functions.text import label
+from strataseek.operators.quantiles import exact_quantiles
 from strataseek.plans.retrieval import METHODS, SearchIndex, as_results, search
 
 _QUERY_TYPES = {"ANN": "ANN", "Full-Text": "FULL_TEXT", "Hybrid": "HYBRID"}
@@ -89,13 +90,14 @@ def score_pivot(results: DataFrame, queries: DataFrame) -> DataFrame:
     return _pivot(results.join(queries.select("query_id", "category"), "query_id"), "score")
 
 
+FIVE_NUMBERS = {"lowest": 0.0, "quartile_1": 0.25, "median": 0.5, "quartile_3": 0.75,
+                "highest": 1.0}
+
+
 def box_stats(df: DataFrame, value: str, measure: str) -> DataFrame:
-    """Five-number summary per method (exact percentiles)."""
-    five = F.percentile(value, F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    return (df.groupBy("method").agg(five.alias("p"))
-            .select("method", F.lit(measure).alias("measure"),
-                    *[F.col("p")[i].alias(name) for i, name in enumerate(
-                        ("lowest", "quartile_1", "median", "quartile_3", "highest"))]))
+    """Five-number summary per method (exact quantiles)."""
+    return (exact_quantiles(df, "method", value, FIVE_NUMBERS)
+            .select("method", F.lit(measure).alias("measure"), *FIVE_NUMBERS))
 
 
 def report(per_query: DataFrame, queries: DataFrame) -> DataFrame:
