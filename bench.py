@@ -28,8 +28,8 @@ from workload import queries as registered  # noqa: E402
 
 HEADLINES = ["silver_events", "gold_by_state", "gold_by_county", "spatial_within_distance",
              "daily_series", "kpi_overview", "silver_clean", "silver_chunks",
-             "silver_embeddings", "index_upsert", "change_feed_diff", "vector_topk_exact",
-             "search_ann", "fulltext_bm25", "hybrid_rrf", "bench_report"]
+             "index_upsert", "change_feed_diff", "vector_topk_exact", "search_ann",
+             "fulltext_bm25", "hybrid_rrf", "bench_report"]
 SINGLE_QUERIES = 15
 
 

@@ -6,9 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strataseek.session import held_locally
+
 # Accuracy of the first, approximate pass: its rank error is at most rows / ACCURACY.
 ACCURACY = 10_000
 _MARGIN = 3 / ACCURACY
+# Up to this many brackets (groups times quantiles) are broadcast.
+MAX_LOCAL_BRACKETS = 100_000
 
 
 def exact_quantiles(df: DataFrame, group: str, value: str, at: dict[str, float]) -> DataFrame:
@@ -35,15 +39,20 @@ def exact_quantiles(df: DataFrame, group: str, value: str, at: dict[str, float])
         F.when(few | F.lit(hi == 1), F.col("most")).otherwise(F.col("high")[i]).alias("hi"))
         for i, ((name, p), lo, hi) in enumerate(zip(at.items(), low, high))]
     wanted = bracket.select(group, F.inline(F.array(*entries)))
+    local = held_locally(wanted, MAX_LOCAL_BRACKETS)
+
+    def near(side: DataFrame) -> DataFrame:
+        return side if local is None else F.broadcast(side)
 
+    wanted = wanted if local is None else local
     counted = known.groupBy(group, "v").agg(F.count(F.lit(1)).alias("n"))
-    placed = counted.join(wanted, group)
+    placed = counted.join(near(wanted), group)
     below = (placed.groupBy(group, "name")
              .agg(F.sum(F.when(F.col("v") < F.col("lo"), F.col("n")).otherwise(0))
                   .alias("below")))
     order = Window.partitionBy(group, "name").orderBy("v")
     inside = (placed.filter(F.col("v").between(F.col("lo"), F.col("hi")))
-              .join(below, [group, "name"])
+              .join(near(below), [group, "name"])
               .withColumn("last", F.col("below") + F.sum("n").over(order) - 1)
               .withColumn("first", F.col("last") - F.col("n") + 1))
 

@@ -135,6 +135,22 @@ def point_in_polygon_join(points: DataFrame, polygons: DataFrame, wkt: str, keys
             .drop("level", "cx", "cy", "inside", "edges"))
 
 
+def polygon_left_join(points: DataFrame, polygons: DataFrame, wkt: str, keys: list[str],
+                      **join_options) -> DataFrame:
+    """Spatial LEFT join: all matches, and one row without point for every other polygon.
+
+    A plain left join would shuffle the matches by polygon, so a polygon with a third of
+    the points would overload one task. Here the matches stay where they were found and
+    only the distinct keys of matched polygons are exchanged. ``keys`` must identify a
+    polygon.
+    """
+    matches = point_in_polygon_join(points, polygons, wkt, keys, **join_options)
+    matched = matches.select(*keys).distinct()
+    missing = polygons.select(*keys).join(
+        matched, [polygons[k].eqNullSafe(matched[k]) for k in keys], "left_anti")
+    return matches.unionByName(missing, allowMissingColumns=True)
+
+
 def with_polygon_id(polygons: DataFrame, columns: list[str]) -> DataFrame:
     """Narrow key standing for all attribute columns (used in place of grouping by WKT)."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns]

@@ -14,8 +14,8 @@ from strataseek.functions import geo, text, vectors, wkb
 from strataseek.operators import index_table
 from strataseek.operators.embed import embed_hashing
 from strataseek.operators.fulltext import bm25_top_k, document_frequency, normalise_scores
-from strataseek.operators.spatial_join import (point_in_polygon_join, points_per_polygon,
-                                               polygon_intersects_join, with_polygon_id,
+from strataseek.operators.spatial_join import (points_per_polygon, polygon_intersects_join,
+                                               polygon_left_join, with_polygon_id,
                                                within_distance_join)
 from strataseek.operators.vector_search import (assign_cells, exact_top_k, ivf_top_k, lsh_top_k,
                                                 recall_at_k, train_cells)
@@ -295,11 +295,10 @@ def silver_counties(spark, sf_dir):
 
 @query
 def spatial_left_join_state(spark, sf_dir):
-    states, points = silver_states_table(spark, sf_dir), silver_events_table(spark, sf_dir)
-    matches = point_in_polygon_join(points.select("event_id", "longitude", "latitude"),
-                                    states, "geometry", ["state_fips"])
-    return (states.select("state_fips", "state_name")
-            .join(matches.select("state_fips", "event_id"), "state_fips", "left"))
+    points = silver_events_table(spark, sf_dir).select("event_id", "longitude", "latitude")
+    joined = polygon_left_join(points, silver_states_table(spark, sf_dir), "geometry",
+                               ["state_fips", "state_name"])
+    return joined.select("state_fips", "state_name", "event_id")
 
 
 @query
