@@ -94,10 +94,12 @@ def bm25_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "chu
         for part in blocks(len(lengths), max(width, weights.shape[1])):
             low, high = np.searchsorted(owner, [part[0], part[-1] + 1])
             cells = (owner[low:high] - part[0]) * width + term[low:high]
-            tf = np.bincount(cells, minlength=len(part) * width).reshape(len(part), width)
+            # term frequency and gain only where a term occurs, then one matrix product
+            used, tf = np.unique(cells, return_counts=True)
             damp = k1 * (1 - b + b * lengths[part] / average)
-            gain = tf * (k1 + 1) / (tf + damp[:, None])
-            scores = gain @ weights
+            gain = np.zeros(len(part) * width)
+            gain[used] = tf * (k1 + 1) / (tf + damp[used // width])
+            scores = gain.reshape(len(part), width) @ weights
             yield part, every, np.where(scores > 0, scores, np.nan)
 
     # with few terms only the tokens that can score leave the JVM

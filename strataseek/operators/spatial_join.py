@@ -21,11 +21,13 @@ from strataseek.functions import geo
 from strataseek.operators.skew import balanced_join
 from strataseek.session import BROADCAST_LIMIT_BYTES, cut_lineage, has_work_folder
 
-# The longer box side spans at least this many cells of its level and at most four times
-# as many; polygons with many edges get the finer grid.
-_CELLS_PER_SIDE = 2
-_CELLS_PER_SIDE_DETAILED = 4
-_DETAILED_EDGES = 64
+# The longer box side of a polygon spans at least this many cells of its level and at most
+# four times as many. Few or simple polygons get a finer grid, within a budget of cells
+# and stored edges for the whole index: fewer points then need the exact test.
+_COARSEST = 2
+_FINEST = 16
+_CELL_BUDGET = 100_000
+_EDGE_BUDGET = 400_000
 _SMALLEST_SIDE = 1e-7
 
 POLYGON_KEY = "polygon_id"
@@ -39,17 +41,26 @@ def _cell_size(level: Column) -> Column:
     return F.pow(F.lit(4.0), level.cast("double"))
 
 
-def with_geometry(polygons: DataFrame, wkt: str, rings: str = "__rings") -> DataFrame:
+def cells_per_side(polygons: DataFrame, wkt: str) -> float:
+    """Grid fineness for a polygon set, from its row count and number of vertices."""
+    commas = F.length(wkt) - F.length(F.replace(F.col(wkt), F.lit(",")))
+    n, vertices = polygons.agg(F.count(wkt), F.sum(commas + 1)).first()
+    if not n:
+        return _COARSEST
+    fine = min((_CELL_BUDGET / n) ** 0.5 / 4, _EDGE_BUDGET / vertices)
+    return max(_COARSEST, min(_FINEST, fine))
+
+
+def with_geometry(polygons: DataFrame, wkt: str, rings: str = "__rings",
+                  per_side: float = _COARSEST) -> DataFrame:
     """Parse WKT once and add rings, edges, box and grid level; bad text gives nulls."""
     side = F.greatest(F.col("__box.max_x") - F.col("__box.min_x"),
                       F.col("__box.max_y") - F.col("__box.min_y"), F.lit(_SMALLEST_SIDE))
-    least = F.when(F.size("__edges") < _DETAILED_EDGES, _CELLS_PER_SIDE).otherwise(
-        _CELLS_PER_SIDE_DETAILED)
     return (polygons.withColumn(rings, geo.st_rings(wkt))
             .withColumn("__edges", geo.st_edges(rings))
             .withColumn("__box", geo.st_box(rings))
             .withColumn("__level", F.floor(
-                F.log(4.0, side / least)).cast("int")))
+                F.log(4.0, side / per_side)).cast("int")))
 
 
 def _cover(box: str, size: Column) -> Column:
@@ -60,14 +71,15 @@ def _cover(box: str, size: Column) -> Column:
         ys, lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
 
 
-def polygon_cells(polygons: DataFrame, wkt: str, keys: list[str]) -> DataFrame:
+def polygon_cells(polygons: DataFrame, wkt: str, keys: list[str],
+                  per_side: float = _COARSEST) -> DataFrame:
     """Grid index of polygons: ``keys, level, cx, cy, inside, edges``.
 
     ``inside`` marks cells that the polygon covers completely. Cells that the box
     covers but the polygon does not touch are left out.
     """
     size = _cell_size(F.col("__level"))
-    cells = (with_geometry(polygons, wkt)
+    cells = (with_geometry(polygons, wkt, per_side=per_side)
              .filter(F.size("__edges") > 0)
              .select(*keys, F.col("__level").alias("level"), "__edges",
                      size.alias("__size"), F.explode(_cover("__box", size)).alias("__c"))
@@ -118,7 +130,7 @@ def point_in_polygon_join(points: DataFrame, polygons: DataFrame, wkt: str, keys
     pair appears twice. The polygon index is written once to the shared folder (when one
     is set), so its size is known and no polygon is parsed twice.
     """
-    cells = polygon_cells(polygons, wkt, keys)
+    cells = polygon_cells(polygons, wkt, keys, cells_per_side(polygons, wkt))
     if has_work_folder(cells.sparkSession):
         cells = cut_lineage(cells, "polygon-cells")
     size = cells.agg(F.collect_set("level"), F.sum(F.lit(128) + F.size("edges") * 48)).first()

@@ -636,7 +636,7 @@ def all_oracles() -> dict[str, str]:
             SELECT COUNT(*) AS total_chunks, ROUND(AVG(chunk_length), 6) AS avg_chunk_length
             FROM chunk_pos""", "chunk_pos"),
         # -------------------------------------------------------- vectors
-        "embed_hashing_vectors": sql(f"""
+        "embed_hashing": sql(f"""
             SELECT file_name, total > 0 AS embedding_ok,
                    {vec('list_transform(counts, lambda c: CASE WHEN total > 0 THEN c / sqrt(total) ELSE 0 END)')} AS embedding
             FROM (SELECT file_name, list(n ORDER BY b) AS counts, SUM(n * n) AS total
@@ -701,7 +701,7 @@ def all_oracles() -> dict[str, str]:
                    ROUND(vector_score, 6) AS vector_score,
                    ROUND(keyword_score, 6) AS keyword_score, rank, keyword_matches
             FROM hybrid""", "hybrid"),
-        "search_all_methods_results": sql(
+        "search_all_methods": sql(
             "SELECT * REPLACE (ROUND(score, 6) AS score) FROM results", "results"),
         # -------------------------------------------------------- benchmark analysis
         "bench_latency_per_query": sql("""

@@ -36,13 +36,14 @@ RADIUS_M = 150_000.0
 
 
 def query(function: Query) -> Query:
+    """Register a query under its function name (without a closing underscore)."""
     @functools.wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         ship_package(spark)
         return function(spark, sf_dir)
 
-    _QUERIES[function.__name__] = run
+    _QUERIES[function.__name__.rstrip("_")] = run
     return run
 
 
@@ -582,7 +583,7 @@ def chunk_stats(spark, sf_dir):
 # ---------------------------------------------------------------- vectors and index
 
 @query
-def embed_hashing_vectors(spark, sf_dir):
+def embed_hashing_(spark, sf_dir):
     rows = embed_hashing(fx.bronze_papers(spark, sf_dir).select("file_name", "raw_content"),
                          text="raw_content")
     return flat(rows.select("file_name", "embedding_ok", "embedding"))
@@ -704,7 +705,7 @@ def hybrid_rrf(spark, sf_dir):
 
 
 @query
-def search_all_methods_results(spark, sf_dir):
+def search_all_methods_(spark, sf_dir):
     return flat(search_results(spark, sf_dir), 6)
 
 
