@@ -60,8 +60,8 @@ def bm25_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "chu
 
     ``rows`` needs the key and ``tokens``. Term statistics come from ``lexicon``
     (:func:`document_frequency`) and ``size`` (:func:`corpus_size`) when given, else from
-    passes over ``rows``. A batch with too many queries or terms is answered by :func:`bm25_joined`. A query without a
-    match has no rows.
+    passes over ``rows``. A batch with too many queries or terms is answered by
+    :func:`bm25_joined`. A query without a match has no rows.
     """
     wanted = _query_terms(queries, query_id, query_text).limit(max_queries + 1).collect()
     terms = sorted({t for r in wanted for t in (r.terms or [])})

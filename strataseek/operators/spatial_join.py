@@ -25,7 +25,7 @@ from strataseek.session import BROADCAST_LIMIT_BYTES, cut_lineage, has_work_fold
 # four times as many. Few or simple polygons get a finer grid, within a budget of cells
 # and stored edges for the whole index: fewer points then need the exact test.
 _COARSEST = 2
-_FINEST = 16
+_FINEST = 8
 _CELL_BUDGET = 100_000
 _EDGE_BUDGET = 400_000
 _SMALLEST_SIDE = 1e-7

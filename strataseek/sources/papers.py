@@ -86,7 +86,7 @@ def read_atom_entries(spark: SparkSession, path: str, row_tag: str = "entry") ->
     base = F.element_at(F.split("id", "/abs/"), 1)
     return entry.select(
         paper_id.alias("paper_id"),
-        F.replace(F.trim(F.btrim("title", F.lit(" \n\t"))), F.lit("\n"), F.lit(" "))
+        F.replace(F.btrim("title", F.lit(" \n\t")), F.lit("\n"), F.lit(" "))
         .alias("title"),
         F.coalesce(listed, F.concat(base, F.lit("/pdf/"), paper_id, F.lit(".pdf")))
         .alias("pdf_url"))

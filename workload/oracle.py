@@ -638,7 +638,8 @@ def all_oracles() -> dict[str, str]:
         # -------------------------------------------------------- vectors
         "embed_hashing": sql(f"""
             SELECT file_name, total > 0 AS embedding_ok,
-                   {vec('list_transform(counts, lambda c: CASE WHEN total > 0 THEN c / sqrt(total) ELSE 0 END)')} AS embedding
+                   {vec("list_transform(counts, lambda c: CASE WHEN total > 0 "
+                        "THEN c / sqrt(total) ELSE 0 END)")} AS embedding
             FROM (SELECT file_name, list(n ORDER BY b) AS counts, SUM(n * n) AS total
                   FROM (SELECT p.file_name, d.b, coalesce(n, 0)::DOUBLE AS n
                         FROM paper p CROSS JOIN range(64) d(b)

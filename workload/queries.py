@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataseek.functions import geo, text, vectors, wkb
+from strataseek.functions import geo, text, wkb
 from strataseek.operators import index_table
 from strataseek.operators.embed import embed_hashing
 from strataseek.operators.fulltext import bm25_top_k, document_frequency, normalise_scores
