@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataseek.llm import token_files
+from strataseek.llm import hilbert_search, sentencepiece, token_counts, token_files, toxicity
 from strataseek.llm.common import read
 
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "")
@@ -26,8 +27,25 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files_report(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.token_report(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.word_piece_counts(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op6_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return hilbert_search.search(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op")}
+    return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 
 
 def llm_oracles() -> dict[str, str]:
