@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataseek.llm import hilbert_search, sentencepiece, token_counts, token_files, toxicity
+from strataseek.llm import decontamination, hilbert_search, line_dedup, sentencepiece, token_counts, token_files, toxicity
 from strataseek.llm.common import read
 
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "")
@@ -31,6 +31,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.token_report(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "n_shared", "n_shingles")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.word_piece_counts(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -44,9 +50,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(read(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op4_decontamination": decontamination.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
