@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataseek.llm import decontamination, hilbert_search, line_dedup, sentencepiece, token_counts, token_files, toxicity
+from strataseek.llm import decontamination, hilbert_search, jaccard_join, line_dedup, sentencepiece, token_counts, token_files, toxicity
 from strataseek.llm.common import read
 
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "")
@@ -50,6 +50,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read(spark, sf_dir, "documents"))
 
