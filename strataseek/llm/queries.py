@@ -8,7 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataseek.llm import decontamination, hilbert_search, jaccard_join, line_dedup, sentencepiece, token_counts, token_files, toxicity
+from strataseek.llm import decontamination, hilbert_search, jaccard_join, line_dedup, lm_scoring, \
+    sentencepiece, token_counts, token_files, toxicity
 from strataseek.llm.common import read
 
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "")
@@ -27,6 +28,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files_report(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_report(read(spark, sf_dir, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.token_report(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -63,4 +68,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_decontamination": decontamination.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
+    return {"op1_lm_scoring": lm_scoring.ORACLE, "op4_decontamination": decontamination.ORACLE,
+            "op10_line_dedup": line_dedup.ORACLE}
