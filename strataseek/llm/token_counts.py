@@ -118,7 +118,8 @@ def word_piece_counts(documents: DataFrame, model_file: str) -> DataFrame:
             starts, ends, rows = word_spans(data, offsets)
             found = np.zeros(0, np.int64)
             if len(starts):
-                found = known.pool[known.look_up(data, starts, ends)[0]]
+                at, _ = known.look_up(data, starts, ends)
+                found = known.pool[at]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(np.bincount(rows, minlength=n_rows).astype(np.int64)),
                 pa.array(per_row(rows, np.where(found < 0, 1, found), n_rows)),
