@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strataseek.llm import decontamination, hilbert_search, jaccard_join, line_dedup, lm_scoring, \
-    sentencepiece, token_counts, token_files, toxicity
+    repeated_spans, sentencepiece, token_counts, token_files, toxicity
 from strataseek.llm.common import read
 
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "")
@@ -59,6 +59,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op9_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans.span_report(read(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read(spark, sf_dir, "documents"))
 
