@@ -23,6 +23,7 @@ from strataseek.llm.sentencepiece_model import MARK, NORMAL, USER, Model
 from strataseek.llm.spans import SpanTable, per_row
 
 _NONE = -1
+FEW = 16
 SCHEMA = "doc_id long, n_words long, n_tokens long, n_unknown long"
 
 
@@ -67,6 +68,7 @@ class LongestMatch:
                     below.append(child)
             level = below
         self.link, self.popped = np.array(link, np.int64), np.array(popped, np.int64)
+        self.children = children
         keys = sorted((node << 8 | byte, child) for node, kids in enumerate(children) for byte, child in kids.items())
         self.edges = np.array([k for k, _ in keys], np.int64)
         self.to = np.array([c for _, c in keys], np.int64)
@@ -88,7 +90,7 @@ class LongestMatch:
         live = np.flatnonzero(size)
         node, total, place = np.zeros(len(live), np.int64), np.zeros(len(live), np.int64), at[live]
         last = end[live]
-        while len(live):
+        while len(live) > FEW:
             reading = place < last
             step = np.full(len(live), _NONE)
             step[reading] = self._child(node[reading], data[place[reading]])
@@ -100,8 +102,24 @@ class LongestMatch:
             place = place + grow
             stay = ~done & (node != _NONE)
             live, node, total, place, last = live[stay], node[stay], total[stay], place[stay], last[stay]
+        for i, *state in zip(live.tolist(), node.tolist(), total.tolist(), place.tolist(), last.tolist()):
+            out[i] = self._finish(data, *state)
         return out
 
+    def _finish(self, data: np.ndarray, node: int, total: int, place: int, last: int) -> int:
+        """The rest of one word, a byte at a time: cheaper than arrays when few words are left."""
+        word, at = data[place:last].tolist(), 0
+        while True:
+            step = self.children[node].get(word[at]) if at < len(word) else None
+            if step is not None:
+                node, at = step, at + 1
+            elif at == len(word) and node == 1:
+                return total
+            else:
+                total, node = total + int(self.popped[node]), int(self.link[node])
+                if node == _NONE:
+                    return -1
+
 
 def word_piece_counts(documents: DataFrame, model_file: str) -> DataFrame:
     """doc_id, n_words, n_tokens (an unknown word is one token), n_unknown of every document."""
