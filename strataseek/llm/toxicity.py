@@ -32,7 +32,7 @@ MAX_TRAINING_ROWS = 16_000
 EPOCHS = 3
 ALPHA, BETA, L2 = 1.0, 1.0, 1.0
 #: The L1 term grows with the number of rows learned from, as evidence does.
-L1_PER_ROW, LEAST_L1 = 1 / 600, 0.5
+L1_PER_ROW, LEAST_L1 = 1 / 600, 2.0
 THRESHOLD = 0.7
 _SKIP = np.uint64(0x2545F4914F6CDD1D)
 
