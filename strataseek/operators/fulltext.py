@@ -8,17 +8,20 @@ score(query, row) = sum over the distinct query terms t found in the row of
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from strataseek.functions.text import tokens
 from strataseek.operators.skew import balanced_join
-from strataseek.operators.topk import MAX_QUERY_ROWS, blocks, rank_rows, scan_top_k
+from strataseek.operators.topk import (MAX_QUERY_ROWS, Scorer, blocks, in_batches, rank_rows,
+                                       scan_top_k, significant_column)
 
 # Usual BM25 parameters.
 K1 = 1.2
@@ -52,21 +55,24 @@ def _query_terms(queries: DataFrame, query_id: str, text: str) -> DataFrame:
                           F.array_distinct(tokens(text)).alias("terms"))
 
 
-def bm25_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "chunk_id",
-               query_id: str = "query_id", query_text: str = "query",
-               lexicon: DataFrame | None = None, size: tuple[int, float] | None = None,
-               k1: float = K1, b: float = B, max_queries: int = MAX_QUERY_ROWS) -> DataFrame:
-    """The ``k`` best rows per query: ``query_id, <key>, score, rank``.
+@dataclass
+class TermScan:
+    """One query batch, ready for a scan over token lists."""
 
-    ``rows`` needs the key and ``tokens``. Term statistics come from ``lexicon``
-    (:func:`document_frequency`) and ``size`` (:func:`corpus_size`) when given, else from
-    passes over ``rows``. A batch with too many queries or terms is answered by
-    :func:`bm25_joined`. A query without a match has no rows.
-    """
-    wanted = _query_terms(queries, query_id, query_text).limit(max_queries + 1).collect()
+    corpus: DataFrame
+    ids: list
+    id_type: T.DataType
+    scorer: Scorer
+
+
+def bm25_scan(rows: DataFrame, queries: DataFrame, key: str = "chunk_id", query_id: str = "query_id",
+              query_text: str = "query", lexicon: DataFrame | None = None,
+              size: tuple[int, float] | None = None, k1: float = K1, b: float = B) -> TermScan | None:
+    """The scan of a query batch, or None when its weight matrix is above ``MAX_WEIGHTS``."""
+    wanted = _query_terms(queries, query_id, query_text).collect()
     terms = sorted({t for r in wanted for t in (r.terms or [])})
-    if len(wanted) > max_queries or len(terms) * len(wanted) > MAX_WEIGHTS:
-        return bm25_joined(rows, queries, k, key, query_id, query_text, lexicon, k1, b)
+    if len(terms) * len(wanted) > MAX_WEIGHTS:
+        return None
     spark = rows.sparkSession
     n, average = size or corpus_size(rows)
     term_rows = F.broadcast(spark.createDataFrame(
@@ -109,8 +115,29 @@ def bm25_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "chu
               .filter(F.size("hits") > 0))
     if not vocabulary:
         corpus = corpus.filter(F.lit(False))
-    return scan_top_k(corpus, scorer, [r.query_id for r in wanted],
-                      queries.schema[query_id].dataType, k)
+    return TermScan(corpus, [r.query_id for r in wanted], queries.schema[query_id].dataType, scorer)
+
+
+def bm25_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "chunk_id",
+               query_id: str = "query_id", query_text: str = "query",
+               lexicon: DataFrame | None = None, size: tuple[int, float] | None = None,
+               k1: float = K1, b: float = B, max_queries: int = MAX_QUERY_ROWS) -> DataFrame:
+    """The ``k`` best rows per query: ``query_id, <key>, score, rank``.
+
+    ``rows`` needs the key and ``tokens``. Term statistics come from ``lexicon``
+    (:func:`document_frequency`) and ``size`` (:func:`corpus_size`) when given, else from
+    passes over ``rows``. More than ``max_queries`` queries go in several batches; a batch
+    with too many terms is answered by :func:`bm25_joined`. A query without a match has no rows.
+    """
+    size = size or corpus_size(rows)
+
+    def answer(part: DataFrame) -> DataFrame:
+        scan = bm25_scan(rows, part, key, query_id, query_text, lexicon, size, k1, b)
+        if scan is None:
+            return bm25_joined(rows, part, k, key, query_id, query_text, lexicon, k1, b)
+        return scan_top_k(scan.corpus, scan.scorer, scan.ids, scan.id_type, k)
+
+    return in_batches(queries, query_id, max_queries, answer)
 
 
 def document_frequency_of(rows: DataFrame, term_rows: DataFrame) -> DataFrame:
@@ -141,7 +168,7 @@ def bm25_joined(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "ch
         F.col("tf") + k1 * (1 - b + b * F.col("length") / F.lit(average)))
     scored = (balanced_join(postings, wanted, ["term"], [key], F.lit(64))
               .groupBy("query_id", key)
-              .agg(F.round(F.sum(F.col("idf") * gain), 9).alias("score")))
+              .agg(significant_column(F.sum(F.col("idf") * gain)).alias("score")))
     return rank_rows(scored.select("query_id", key, "score"), key, k)
 
 

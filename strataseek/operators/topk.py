@@ -1,9 +1,12 @@
 """Top-k scans: score every row against a query batch, keep k rows per query and task.
 
-The corpus is read once and never shuffled. Each task holds the query batch as one
+The corpus is read once per query batch and never shuffled. Each task holds the batch as one
 matrix, scores an Arrow batch at a time and keeps a running best list per query, so
 a task emits at most ``k`` rows per query however many rows it reads, and equal or
 clustered rows cannot overload one task. A window over those few rows gives the rank.
+
+Scores are compared at ``SCORE_DIGITS`` significant digits, so equal rows tie whatever the
+order of summation, small scores keep their order, and the key decides ties.
 """
 
 from __future__ import annotations
@@ -12,103 +15,206 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
-# A query batch up to this many rows is sent to the tasks; larger ones are tiled.
+# A query batch up to this many rows is sent to the tasks; more rows go in several batches.
 MAX_QUERY_ROWS = 4096
-# Scores are compared at this many decimals, so equal rows tie and the key decides.
 SCORE_DIGITS = 9
 # Matrix cells scored at a time inside a task.
 _BLOCK_CELLS = 4_000_000
 
+# A scorer takes one Arrow batch and yields (row numbers, query numbers, score matrix);
+# a score that is not a number marks a pair that is no candidate.
+Scorer = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
+# Scores of (row, query) pairs to full precision, from row numbers of the Arrow batch.
+Refiner = Callable[[pa.RecordBatch, np.ndarray, np.ndarray], np.ndarray]
 
-class BestRows:
-    """Running top-k per query: greatest rounded score first, then smallest key."""
 
-    def __init__(self, queries: int, k: int):
-        self.k = k
-        self.scores = [np.empty(0)] * queries
-        self.keys = [np.empty(0, dtype=object)] * queries
+def significant(x: np.ndarray, digits: int = SCORE_DIGITS) -> np.ndarray:
+    """Rounded to so many significant digits."""
+    size = np.abs(x)
+    place = np.zeros_like(size)
+    np.log10(size, out=place, where=(size > 0) & np.isfinite(size))
+    scale = 10.0 ** (digits - 1 - np.floor(place))
+    return np.where(np.isfinite(x), np.round(x * scale) / scale, x)
 
-    def offer(self, query: int, scores: np.ndarray, keys: np.ndarray) -> None:
-        held = self.scores[query]
-        floor = held[-1] if len(held) == self.k else -np.inf
-        rows = np.flatnonzero(scores >= floor)
-        if len(rows) > self.k:
-            found = scores[rows]
-            cut = np.partition(found, len(rows) - self.k)[len(rows) - self.k]
-            rows = rows[found >= cut]
-        if len(rows) == 0:
-            return
-        all_scores = np.concatenate([held, scores[rows]])
-        all_keys = np.concatenate([self.keys[query], keys[rows]])
-        order = sorted(range(len(all_scores)), key=lambda i: (-all_scores[i], all_keys[i]))
-        order = order[: self.k]
-        self.scores[query] = all_scores[order]
-        self.keys[query] = all_keys[order]
-
-    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        counts = [len(s) for s in self.scores]
-        return (np.repeat(np.arange(len(counts)), counts),
-                np.concatenate(self.scores) if counts else np.empty(0),
-                np.concatenate(self.keys) if counts else np.empty(0, dtype=object))
 
+def significant_column(x: Column, digits: int = SCORE_DIGITS) -> Column:
+    scale = F.pow(F.lit(10.0), F.lit(digits - 1) - F.floor(F.log10(F.abs(x))))
+    return F.when(x == 0, x).otherwise(F.rint(x * scale) / scale)
 
-# A scorer takes one Arrow batch and yields (row numbers, query numbers, score matrix);
-# a score that is not a number marks a pair that is no candidate.
-Scorer = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
+
+class BestRows:
+    """Running top-k of all queries: greatest score first, then smallest key."""
+
+    def __init__(self, queries: int, k: int, key_type: pa.DataType):
+        self.k = k
+        self.floor = np.full(queries, -np.inf)
+        self.held = pa.table({"query": pa.array([], pa.int32()), "score": pa.array([], pa.float64()),
+                              "key": pa.array([], key_type)})
+
+    def offer(self, queries: np.ndarray, scores: np.ndarray, keys: pa.Array) -> None:
+        """Pairs of a query number and a row; scores are significant digits already."""
+        more = pa.table({"query": pa.array(queries, pa.int32()), "score": scores, "key": keys})
+        table = pa.concat_tables([self.held, more])
+        table = table.take(pc.sort_indices(table, sort_keys=[
+            ("query", "ascending"), ("score", "descending"), ("key", "ascending")]))
+        query = table.column("query").to_numpy()
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        self.held = table.filter(pa.array(place < self.k)).combine_chunks()
+        last = np.flatnonzero(place == self.k - 1)
+        self.floor[query[last]] = table.column("score").to_numpy()[last]
+
+    def offer_matrix(self, batch: pa.RecordBatch, rows: np.ndarray, queries: np.ndarray,
+                     scores: np.ndarray, refine: Refiner | None) -> None:
+        """All queries of a block at once: only rows that can be among the best are ordered."""
+        scores = np.where(np.isfinite(scores), scores, -np.inf)
+        limit = self.floor[queries]
+        if len(rows) > self.k:
+            limit = np.maximum(limit, np.partition(scores, len(rows) - self.k, axis=0)[len(rows) - self.k])
+        slack = np.where(np.isfinite(limit), np.abs(limit) * 10.0 ** (1 - SCORE_DIGITS), 0.0)
+        row, column = np.nonzero((scores >= limit - slack) & (scores > -np.inf))
+        if len(row):
+            found = scores[row, column] if refine is None else refine(batch, rows[row], queries[column])
+            self.offer(queries[column], significant(found), batch.column(0).take(pa.array(rows[row])))
 
 
-def _collect_best(batches: Iterator[pa.RecordBatch], scorer: Scorer, queries: int,
-                  k: int) -> BestRows:
-    best = BestRows(queries, k)
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
-        for rows, columns, scores in scorer(batch):
-            rounded = np.where(np.isfinite(scores), np.round(scores, SCORE_DIGITS), -np.inf)
-            names = keys[rows]
-            for j, query in enumerate(columns):
-                column = rounded[:, j]
-                kept = column > -np.inf
-                if kept.all():
-                    best.offer(query, column, names)
-                elif kept.any():
-                    best.offer(query, column[kept], names[kept])
-    return best
+def _result_schema(corpus: DataFrame, query_type: T.DataType) -> T.StructType:
+    key = corpus.columns[0]
+    return T.StructType([T.StructField("query_id", query_type),
+                         T.StructField(key, corpus.schema[key].dataType),
+                         T.StructField("score", T.DoubleType())])
 
 
 def scan_top_k(corpus: DataFrame, scorer: Scorer, query_ids: list, query_type: T.DataType,
-               k: int) -> DataFrame:
+               k: int, refine: Refiner | None = None) -> DataFrame:
     """Run ``scorer`` over ``corpus`` (its first column is the row key) and rank.
 
-    Returns ``query_id, <key>, score, rank`` with ``rank <= k``.
+    Returns ``query_id, <key>, score, rank`` with ``rank <= k``. With ``refine`` the matrix
+    only selects who can be among the best, and the refined scores decide.
     """
+    schema = _result_schema(corpus, query_type)
     key = corpus.columns[0]
-    key_type = corpus.schema[key].dataType
-    arrow_types = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(),
-                   T.StringType(): pa.string()}
-    key_arrow, query_arrow = arrow_types[key_type], arrow_types[query_type]
-    ids = list(query_ids)
+    key_arrow, query_arrow = to_arrow_type(schema[key].dataType), to_arrow_type(query_type)
+    ids = pa.array(list(query_ids), type=query_arrow)
 
     def run(batches):
-        best = _collect_best(batches, scorer, len(ids), k)
-        which, scores, keys = best.rows()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([ids[i] for i in which], type=query_arrow),
-             pa.array(keys.tolist(), type=key_arrow), pa.array(scores, type=pa.float64())],
-            names=["query_id", key, "score"])
-
-    schema = T.StructType([T.StructField("query_id", query_type),
-                           T.StructField(key, key_type),
-                           T.StructField("score", T.DoubleType())])
+        best = BestRows(len(ids), k, key_arrow)
+        for batch in batches:
+            if batch.num_rows:
+                for rows, columns, scores in scorer(batch):
+                    best.offer_matrix(batch, rows, columns, scores, refine)
+        held = best.held.combine_chunks()
+        yield from pa.table({"query_id": ids.take(held.column("query").combine_chunks()),
+                             key: held.column("key"), "score": held.column("score")}).to_batches()
+
     return rank_rows(corpus.mapInArrow(run, schema), key, k)
 
 
+def scan_scores(corpus: DataFrame, scorer: Scorer, query_ids: list, query_type: T.DataType,
+                wanted: DataFrame, refine: Refiner | None = None) -> DataFrame:
+    """``query_id, <key>, score`` of the pairs ``wanted`` (query_id, <key>) that are candidates.
+
+    ``wanted`` is bounded by the query batch and its list length and is broadcast.
+    """
+    schema = _result_schema(corpus, query_type)
+    key = corpus.columns[0]
+    number = {q: i for i, q in enumerate(query_ids)}
+    pairs = wanted.select("query_id", key).toArrow()
+    asked: dict = {}
+    for q, name in zip(pairs.column(0).to_pylist(), pairs.column(1).to_pylist()):
+        asked.setdefault(name, []).append(number[q])
+
+    def run(batches):
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            for rows, columns, scores in scorer(batch):
+                spot = {q: j for j, q in enumerate(columns.tolist())}
+                hits = [(i, r, spot[q], q) for i, r in enumerate(rows.tolist()) if names[r] in asked
+                        for q in asked[names[r]] if q in spot]
+                if hits:
+                    i, r, j, q = (np.array(x) for x in zip(*hits))
+                    found = scores[i, j]
+                    good = np.isfinite(found)
+                    if refine is not None and good.any():
+                        found[good] = refine(batch, r[good], q[good])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([query_ids[x] for x in q[good]], to_arrow_type(query_type)),
+                         batch.column(0).take(pa.array(r[good])), pa.array(significant(found[good]))],
+                        names=["query_id", key, "score"])
+
+    names = F.broadcast(wanted.select(key).distinct())
+    return corpus.join(names, key, "left_semi").select(*corpus.columns).mapInArrow(run, schema)
+
+
+def scan_ranks(corpus: DataFrame, scorer: Scorer, query_ids: list, query_type: T.DataType,
+               scored: DataFrame, refine: Refiner | None = None) -> DataFrame:
+    """Add ``rank`` to ``scored`` (query_id, <key>, score): one more than the rows that beat it.
+
+    One pass counts, per task, the rows with a greater score or an equal one and a smaller key.
+    """
+    key = corpus.columns[0]
+    number = {q: i for i, q in enumerate(query_ids)}
+    held = scored.toArrow()
+    of_query: dict[int, list] = {}
+    for q, name, score in zip(*(held.column(c).to_pylist() for c in ("query_id", key, "score"))):
+        of_query.setdefault(number[q], []).append((score, name))
+    goals = {q: (np.array([s for s, _ in pairs]), [n for _, n in pairs])
+             for q, pairs in ((q, sorted(pairs)) for q, pairs in of_query.items())}
+    type_of = T.StructType([*_result_schema(corpus, query_type).fields, T.StructField("above", T.LongType())])
+
+    def run(batches):
+        above = {q: np.zeros(len(scores), np.int64) for q, (scores, _) in goals.items()}
+        for batch in batches:
+            for rows, columns, scores in scorer(batch):
+                for j, q in enumerate(columns.tolist()):
+                    if q not in goals:
+                        continue
+                    fine = np.flatnonzero(np.isfinite(scores[:, j]))
+                    mine = scores[fine, j] if refine is None else \
+                        refine(batch, rows[fine], np.full(len(fine), q))
+                    mine = significant(mine)
+                    values, names = goals[q]
+                    beaten = np.searchsorted(values, mine, side="left")
+                    above[q] += np.cumsum(np.bincount(beaten, minlength=len(values) + 1)[::-1])[::-1][1:]
+                    same = np.flatnonzero(np.isin(mine, values))
+                    for r, value in zip(batch.column(0).take(pa.array(rows[fine[same]])).to_pylist(),
+                                        mine[same].tolist()):
+                        low, high = np.searchsorted(values, value), np.searchsorted(values, value, side="right")
+                        for place in range(low, high):
+                            above[q][place] += r < names[place]
+        flat = [(query_ids[q], n, s, a) for q, (values, names) in goals.items()
+                for n, s, a in zip(names, values.tolist(), above[q].tolist())]
+        if flat:
+            columns = list(zip(*flat))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], to_arrow_type(query_type)), pa.array(columns[1], to_arrow_type(type_of[key].dataType)),
+                 pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.int64())],
+                names=["query_id", key, "score", "above"])
+
+    counted = corpus.mapInArrow(run, type_of)
+    return counted.groupBy("query_id", key, "score").agg((F.sum("above") + 1).cast("int").alias("rank"))
+
+
+def in_batches(queries: DataFrame, query_id: str, most: int, answer: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``answer`` of a query set of any size: batches of about ``most`` queries, each with its own scan."""
+    total = queries.count()
+    if total <= most:
+        return answer(queries)
+    parts = -(-total // most)
+    number = F.pmod(F.xxhash64(query_id), F.lit(parts))
+    found = None
+    for part in range(parts):
+        one = answer(queries.filter(number == part))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 def rank_rows(scored: DataFrame, key: str, k: int | None, by: list[str] = ("query_id",),
               score: str = "score") -> DataFrame:
     """``row_number`` per query by score, ties by key; Spark prunes to k before the shuffle."""

@@ -1,24 +1,25 @@
 """k-nearest-neighbour search: exact, inverted-file and LSH candidates, recall.
 
 All three use the scan of :mod:`strataseek.operators.topk`; the approximate ones only
-skip (row, query) pairs. Scores are ``cosine``, ``dot`` or ``l2`` = 1 / (1 + d * d); a
-zero vector has no cosine and is never returned.
+skip (row, query) pairs, in the same way for any number of queries. Scores are ``cosine``,
+``dot`` or ``l2`` = 1 / (1 + d * d); a zero vector has no cosine and is never returned.
+Distances of the rows that can be among the best are taken by direct subtraction.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataseek.operators.topk import (MAX_QUERY_ROWS, SCORE_DIGITS, BestRows, blocks,
-                                       rank_rows, scan_top_k)
+from strataseek.operators.topk import MAX_QUERY_ROWS, Refiner, Scorer, blocks, in_batches, scan_top_k
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -45,12 +46,6 @@ def _usable(df: DataFrame, vector: str, dim: int) -> DataFrame:
     return df.filter(F.size(vector) == dim)
 
 
-def _query_batch(queries: DataFrame, query_id: str, vector: str, limit: int, *extra: str):
-    """The query rows, or None when there are more than ``limit``."""
-    rows = queries.select(query_id, vector, *extra).limit(limit + 1).collect()
-    return None if len(rows) > limit else rows
-
-
 def _dimension(rows) -> int:
     sizes = {len(r[1]) for r in rows if r[1] is not None}
     if len(sizes) > 1:
@@ -58,22 +53,41 @@ def _dimension(rows) -> int:
     return sizes.pop() if sizes else 0
 
 
-def exact_top_k(corpus: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosine",
-                key: str = "chunk_id", vector: str = "embedding", query_id: str = "query_id",
-                query_vector: str = "query_vector", max_queries: int = MAX_QUERY_ROWS,
-                tile_rows: int = 20_000) -> DataFrame:
-    """The ``k`` best corpus rows per query: ``query_id, <key>, score, rank``.
+@dataclass
+class VectorScan:
+    """One query batch, ready for a scan: the rows to read and how to score them."""
 
-    A batch of at most ``max_queries`` goes to the tasks; a larger one is joined in
-    tiles (:func:`_tiled_top_k`).
-    """
-    rows = _query_batch(queries, query_id, query_vector, max_queries)
-    if rows is None:
-        return _tiled_top_k(corpus, queries, k, metric, key, vector, query_id, query_vector,
-                            max_queries, tile_rows)
-    dim = _dimension(rows)
-    rows = [r for r in rows if r[1] is not None]
-    wanted = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), dim)
+    corpus: DataFrame
+    ids: list
+    id_type: T.DataType
+    scorer: Scorer
+    refine: Refiner | None
+
+
+def _batch(queries: DataFrame, query_id: str, vector: str) -> tuple[list, np.ndarray]:
+    rows = [r for r in queries.select(query_id, vector).collect() if r[1] is not None]
+    return [r[0] for r in rows], np.array([r[1] for r in rows], np.float64).reshape(len(rows), _dimension(rows))
+
+
+def _refiner(wanted: np.ndarray, dim: int, metric: str) -> Refiner | None:
+    if metric != "l2":
+        return None
+
+    def refine(batch: pa.RecordBatch, rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        values = _matrix(batch.column(1), dim)
+        out = np.empty(len(rows))
+        for part in blocks(len(rows), dim):
+            out[part] = ((values[rows[part]] - wanted[queries[part]]) ** 2).sum(1)
+        return 1.0 / (1.0 + out)
+
+    return refine
+
+
+def exact_scan(corpus: DataFrame, queries: DataFrame, metric: str = "cosine", key: str = "chunk_id",
+               vector: str = "embedding", query_id: str = "query_id",
+               query_vector: str = "query_vector") -> VectorScan:
+    ids, wanted = _batch(queries, query_id, query_vector)
+    dim = wanted.shape[1]
 
     def scorer(batch: pa.RecordBatch):
         values = _matrix(batch.column(1), dim)
@@ -81,58 +95,23 @@ def exact_top_k(corpus: DataFrame, queries: DataFrame, k: int = 10, metric: str
         for part in blocks(len(values), max(len(wanted), dim)):
             yield part, every, score_matrix(values[part], wanted, metric)
 
-    return scan_top_k(_usable(corpus.select(key, vector), vector, dim), scorer,
-                      [r[0] for r in rows], queries.schema[query_id].dataType, k)
+    return VectorScan(_usable(corpus.select(key, vector), vector, dim), ids,
+                      queries.schema[query_id].dataType, scorer, _refiner(wanted, dim, metric))
+
 
+def _top_k(scan: VectorScan, k: int) -> DataFrame:
+    return scan_top_k(scan.corpus, scan.scorer, scan.ids, scan.id_type, k, scan.refine)
 
-def _tiled_top_k(corpus, queries, k, metric, key, vector, query_id, query_vector,
-                 block_queries, tile_rows) -> DataFrame:
-    """Exact search for a query set too large to send to every task.
 
-    Queries are hashed into blocks and corpus rows into tiles; each (tile, block)
-    pair is one small matrix product in one group, of which only k rows per query
-    leave. Group sizes are set by ``tile_rows`` and ``block_queries``, not by the data.
+def exact_top_k(corpus: DataFrame, queries: DataFrame, k: int = 10, metric: str = "cosine",
+                key: str = "chunk_id", vector: str = "embedding", query_id: str = "query_id",
+                query_vector: str = "query_vector", max_queries: int = MAX_QUERY_ROWS) -> DataFrame:
+    """The ``k`` best corpus rows per query: ``query_id, <key>, score, rank``.
+
+    More than ``max_queries`` queries are answered in several scans of that many.
     """
-    n_blocks = -(-queries.count() // block_queries)
-    n_tiles = max(1, -(-corpus.count() // tile_rows))
-    left = (corpus.select(key, vector).filter(F.col(vector).isNotNull())
-            .withColumn("tile", F.pmod(F.xxhash64(key), F.lit(n_tiles)))
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
-    right = (queries.select(F.col(query_id).alias("query_id"),
-                            F.col(query_vector).alias("query_vector"))
-             .filter(F.col("query_vector").isNotNull())
-             .withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int"))
-             .withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                      F.lit(n_tiles - 1).cast("long")))))
-    query_type = queries.schema[query_id].dataType
-    key_type = corpus.schema[key].dataType
-
-    def product(rows, wanted):
-        wanted = wanted[wanted["query_vector"].notna()]
-        ids, which, found, keys = [], [], [], []
-        if len(wanted):
-            goal = np.stack(wanted["query_vector"].to_numpy()).astype(np.float64)
-            rows = rows[rows[vector].map(len) == goal.shape[1]]
-        if len(wanted) and len(rows):
-            ids = wanted["query_id"].tolist()
-            names = rows[key].to_numpy(dtype=object)
-            values = np.stack(rows[vector].to_numpy()).astype(np.float64)
-            best = BestRows(len(ids), k)
-            for part in blocks(len(values), len(ids)):
-                scores = np.round(score_matrix(values[part], goal, metric), SCORE_DIGITS)
-                for j in range(len(ids)):
-                    fine = np.isfinite(scores[:, j])
-                    best.offer(j, scores[fine, j], names[part][fine])
-            which, found, keys = best.rows()
-        return pd.DataFrame({"query_id": pd.Series([ids[i] for i in which], dtype=object),
-                             key: pd.Series(list(keys), dtype=object),
-                             "score": pd.Series(found, dtype="float64")})
-
-    schema = T.StructType([T.StructField("query_id", query_type), T.StructField(key, key_type),
-                           T.StructField("score", T.DoubleType())])
-    found = (left.groupBy("tile", "block").cogroup(right.groupBy("tile", "block"))
-             .applyInPandas(product, schema))
-    return rank_rows(found, key, k)
+    return in_batches(queries, query_id, max_queries, lambda part: _top_k(
+        exact_scan(corpus, part, metric, key, vector, query_id, query_vector), k))
 
 
 # ---------------------------------------------------------------- inverted file
@@ -147,102 +126,139 @@ def train_cells(corpus: DataFrame, cells: int, vector: str = "embedding", seed:
     return KMeans(k=cells, seed=seed, maxIter=iterations, featuresCol="features").fit(train)
 
 
-def assign_cells(corpus: DataFrame, model: KMeansModel, vector: str = "embedding",
-                 cell: str = "cell") -> DataFrame:
-    """Nearest centroid per row, a narrow map; write the result ``partitionBy(cell)``."""
-    features = array_to_vector(F.col(vector).cast("array<double>"))
-    return (model.transform(corpus.withColumn("features", features))
-            .withColumnRenamed("prediction", cell).drop("features"))
+def _centres(cells: KMeansModel | np.ndarray) -> np.ndarray:
+    return np.array(cells.clusterCenters() if isinstance(cells, KMeansModel) else cells, np.float64)
 
 
-def ivf_top_k(indexed: DataFrame, model: KMeansModel, queries: DataFrame, probes: int,
-              k: int = 10, metric: str = "cosine", key: str = "chunk_id",
-              vector: str = "embedding", cell: str = "cell", query_id: str = "query_id",
-              query_vector: str = "query_vector",
-              max_queries: int = MAX_QUERY_ROWS) -> DataFrame:
-    """Search only the ``probes`` cells nearest to each query.
+def _gaps(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, up to a term that is the same for all centres of a row."""
+    return (centres ** 2).sum(1)[None, :] - 2 * rows @ centres.T
 
-    Cells that no query probes are filtered out by the partition column, and inside a
-    task a cell is multiplied only with the queries that probe it. With ``probes`` equal
-    to the number of cells the result is exact. A batch above ``max_queries`` is answered
-    by the exact tiled join.
-    """
-    rows = _query_batch(queries, query_id, query_vector, max_queries)
-    if rows is None:
-        return exact_top_k(indexed, queries, k, metric, key, vector, query_id, query_vector,
-                           max_queries)
-    dim = _dimension(rows)
-    rows = [r for r in rows if r[1] is not None]
-    wanted = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), dim)
-    centres = np.array(model.clusterCenters())
-    probes = min(probes, len(centres))
-    gaps = ((wanted ** 2).sum(1)[:, None] + (centres ** 2).sum(1)[None, :]
-            - 2 * wanted @ centres.T)
-    nearest = np.argsort(gaps, axis=1, kind="stable")[:, :probes]
+
+def _append(corpus: DataFrame, column: str, kind: T.DataType, vector: str, dim: int,
+            value: Callable[[np.ndarray], pa.Array]) -> DataFrame:
+    schema = T.StructType([*corpus.schema.fields, T.StructField(column, kind)])
+    place = corpus.columns.index(vector)
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, value(_matrix(batch.column(place), dim))],
+                                             names=schema.names)
+
+    return _usable(corpus, vector, dim).mapInArrow(run, schema)
+
+
+def assign_cells(corpus: DataFrame, cells: KMeansModel | np.ndarray, vector: str = "embedding",
+                 cell: str = "cell") -> DataFrame:
+    """Nearest centroid per row (the first of equals), a narrow map; write ``partitionBy(cell)``."""
+    centres = _centres(cells)
+    return _append(corpus, cell, T.IntegerType(), vector, centres.shape[1],
+                   lambda values: pa.array(_gaps(values, centres).argmin(axis=1), pa.int32()))
+
+
+def ivf_scan(indexed: DataFrame, cells: KMeansModel | np.ndarray, queries: DataFrame, probes: int,
+             metric: str = "cosine", key: str = "chunk_id", vector: str = "embedding",
+             cell: str = "cell", query_id: str = "query_id",
+             query_vector: str = "query_vector") -> VectorScan:
+    ids, wanted = _batch(queries, query_id, query_vector)
+    dim = wanted.shape[1]
+    centres = _centres(cells)
+    nearest = np.argsort(_gaps(wanted, centres), axis=1, kind="stable")[:, :probes] if len(wanted) \
+        else np.zeros((0, probes), int)
     probing = [np.flatnonzero((nearest == c).any(axis=1)) for c in range(len(centres))]
     used = [c for c in range(len(centres)) if len(probing[c])]
 
     def scorer(batch: pa.RecordBatch):
         values = _matrix(batch.column(1), dim)
-        cells = batch.column(2).to_numpy(zero_copy_only=False)
-        for c in np.unique(cells):
-            members = np.flatnonzero(cells == c)
+        held = batch.column(2).to_numpy(zero_copy_only=False)
+        for c in np.unique(held):
+            members = np.flatnonzero(held == c)
             for part in blocks(len(members), max(len(probing[c]), dim)):
                 yield (members[part], probing[c],
                        score_matrix(values[members[part]], wanted[probing[c]], metric))
 
     probed = indexed.filter(F.col(cell).isin(used)) if len(used) < len(centres) else indexed
-    return scan_top_k(_usable(probed.select(key, vector, cell), vector, dim), scorer,
-                      [r[0] for r in rows], queries.schema[query_id].dataType, k)
+    return VectorScan(_usable(probed.select(key, vector, cell), vector, dim), ids,
+                      queries.schema[query_id].dataType, scorer, _refiner(wanted, dim, metric))
 
 
-# ---------------------------------------------------------------- LSH candidates
-
-def lsh_top_k(corpus: DataFrame, queries: DataFrame, k: int = 10, bucket_length: float = 0.5,
-              tables: int = 8, metric: str = "cosine", key: str = "chunk_id",
-              vector: str = "embedding", query_id: str = "query_id",
-              query_vector: str = "query_vector", seed: int = 7,
+def ivf_top_k(indexed: DataFrame, cells: KMeansModel | np.ndarray, queries: DataFrame, probes: int,
+              k: int = 10, metric: str = "cosine", key: str = "chunk_id",
+              vector: str = "embedding", cell: str = "cell", query_id: str = "query_id",
+              query_vector: str = "query_vector",
               max_queries: int = MAX_QUERY_ROWS) -> DataFrame:
-    """Search rows that share a random-projection bucket with the query in any table.
+    """Search only the ``probes`` cells nearest to each query.
 
-    Rows whose buckets no query uses are dropped in the JVM; the rest are re-ranked
-    exactly. Pairs are never listed, so a bucket that holds many rows costs only its scan.
+    Cells that no query probes are filtered out by the partition column, and inside a
+    task a cell is multiplied only with the queries that probe it. With ``probes`` equal
+    to the number of cells the result is exact. More than ``max_queries`` queries are
+    answered in several scans of that many, with the same cells each.
     """
-    as_vector = array_to_vector(F.col(vector).cast("array<double>"))
-    wanted_df = queries.select(query_id, F.col(query_vector).alias(vector))
-    model = BucketedRandomProjectionLSH(
-        inputCol="features", outputCol="hashes", bucketLength=bucket_length,
-        numHashTables=tables, seed=seed).fit(
-            wanted_df.filter(F.col(vector).isNotNull()).select(as_vector.alias("features")))
-
-    buckets = F.array(*[vector_to_array(F.col("hashes")[t])[0] for t in range(tables)])
-
-    def hashed(df: DataFrame) -> DataFrame:
-        known = df.filter(F.col(vector).isNotNull()).withColumn("features", as_vector)
-        return model.transform(known).withColumn("buckets", buckets).drop("hashes", "features")
-
-    rows = _query_batch(hashed(wanted_df), query_id, vector, max_queries, "buckets")
-    if rows is None:
-        return exact_top_k(corpus, queries, k, metric, key, vector, query_id, query_vector,
-                           max_queries)
-    dim = _dimension(rows)
-    wanted = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), dim)
-    marks = np.array([r[2] for r in rows], dtype=np.float64).reshape(len(rows), tables)
+    return in_batches(queries, query_id, max_queries, lambda part: _top_k(
+        ivf_scan(indexed, cells, part, probes, metric, key, vector, cell, query_id, query_vector), k))
+
+
+# ---------------------------------------------------------------- LSH candidates
+
+def hash_planes(tables: int, dim: int) -> np.ndarray:
+    """Directions of the hash tables, by rule: the same for every table of vectors."""
+    place = np.arange(tables)[:, None] * dim + np.arange(dim)[None, :] + 1.0
+    return np.sin(place * place)
+
+
+def _bucket_numbers(values: np.ndarray, bucket_length: float, tables: int) -> np.ndarray:
+    return np.floor(values @ hash_planes(tables, values.shape[1]).T / bucket_length).astype(np.int64)
+
+
+def with_buckets(corpus: DataFrame, dim: int, bucket_length: float = 0.5, tables: int = 8,
+                 vector: str = "embedding") -> DataFrame:
+    """Add ``buckets``, the bucket of each row in each table; store it with the rows."""
+    def numbers(values: np.ndarray) -> pa.Array:
+        flat = _bucket_numbers(values, bucket_length, tables)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * tables, pa.int32()),
+                                        pa.array(flat.ravel()))
+
+    return _append(corpus, "buckets", T.ArrayType(T.LongType()), vector, dim, numbers)
+
+
+def lsh_scan(corpus: DataFrame, queries: DataFrame, bucket_length: float = 0.5, tables: int = 8,
+             metric: str = "cosine", key: str = "chunk_id", vector: str = "embedding",
+             query_id: str = "query_id", query_vector: str = "query_vector") -> VectorScan:
+    ids, wanted = _batch(queries, query_id, query_vector)
+    dim = wanted.shape[1]
+    marks = _bucket_numbers(wanted, bucket_length, tables)
+    rows = corpus if "buckets" in corpus.columns else with_buckets(
+        corpus.select(key, vector), dim, bucket_length, tables, vector)
 
     def scorer(batch: pa.RecordBatch):
-        values, buckets = _matrix(batch.column(1), dim), _matrix(batch.column(2), tables)
+        values = _matrix(batch.column(1), dim)
+        held = batch.column(2).flatten().to_numpy().reshape(-1, tables)
         every = np.arange(len(wanted))
         for part in blocks(len(values), max(len(wanted) * tables, dim)):
-            shared = (buckets[part][:, None, :] == marks[None, :, :]).any(axis=2)
+            shared = (held[part][:, None, :] == marks[None, :, :]).any(axis=2)
             scores = score_matrix(values[part], wanted, metric)
             yield part, every, np.where(shared, scores, np.nan)
 
     hit = F.lit(False)
     for t in range(tables):
-        hit = hit | F.col("buckets")[t].isin(sorted({float(m) for m in marks[:, t]}))
-    candidates = hashed(_usable(corpus.select(key, vector), vector, dim)).filter(hit)
-    return scan_top_k(candidates.select(key, vector, "buckets"), scorer,
-                      [r[0] for r in rows], queries.schema[query_id].dataType, k)
+        hit = hit | F.col("buckets")[t].isin(sorted({int(m) for m in marks[:, t]}))
+    return VectorScan(_usable(rows.select(key, vector, "buckets"), vector, dim).filter(hit), ids,
+                      queries.schema[query_id].dataType, scorer, _refiner(wanted, dim, metric))
+
+
+def lsh_top_k(corpus: DataFrame, queries: DataFrame, k: int = 10, bucket_length: float = 0.5,
+              tables: int = 8, metric: str = "cosine", key: str = "chunk_id",
+              vector: str = "embedding", query_id: str = "query_id",
+              query_vector: str = "query_vector", max_queries: int = MAX_QUERY_ROWS) -> DataFrame:
+    """Search rows that share a random-projection bucket with the query in any table.
+
+    A stored ``buckets`` column (:func:`with_buckets`) is used and rows whose buckets no query
+    has are dropped in the JVM; the rest are re-ranked exactly. Pairs are never listed, so a
+    bucket that holds many rows costs only its scan. More than ``max_queries`` queries are
+    answered in several scans.
+    """
+    return in_batches(queries, query_id, max_queries, lambda part: _top_k(
+        lsh_scan(corpus, part, bucket_length, tables, metric, key, vector, query_id, query_vector), k))
 
 
 # ---------------------------------------------------------------- quality

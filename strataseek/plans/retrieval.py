@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 
 from strataseek.functions.text import preview
 from strataseek.functions.vectors import hashing_embedding
-from strataseek.operators.fulltext import bm25_top_k, corpus_size, normalise_scores
-from strataseek.operators.hybrid import RANK_WINDOW, count_keyword_matches, fuse_ranks
-from strataseek.operators.topk import MAX_QUERY_ROWS
-from strataseek.operators.vector_search import exact_top_k, ivf_top_k
-from strataseek.session import held_locally
+from strataseek.operators.fulltext import bm25_scan, bm25_top_k, corpus_size, normalise_scores
+from strataseek.operators.hybrid import complete_list, count_keyword_matches, fuse_ranks, list_depth
+from strataseek.operators.topk import MAX_QUERY_ROWS, in_batches
+from strataseek.operators.vector_search import exact_scan, exact_top_k, ivf_scan, ivf_top_k
+from strataseek.session import cut_lineage, fits_broadcast, held_locally
 
 METHODS = ("ANN", "Full-Text", "Hybrid")
 # Result lists up to this length are looked up by key.
 LOOKUP_ROWS = 1000
+# Queries of one hybrid batch: its lists of candidates are held by every task.
+HYBRID_QUERIES = 1024
 RESULT_COLUMNS = ["query_id", "method", "rank", "chunk_id", "file_name", "text", "score"]
 
 
@@ -54,13 +56,32 @@ def keyword_list(index: SearchIndex, queries: DataFrame, k: int) -> DataFrame:
     return bm25_top_k(index.rows, queries, k, lexicon=index.lexicon, size=index.size)
 
 
+def hybrid_list(index: SearchIndex, queries: DataFrame, k: int) -> DataFrame:
+    """The k best rows by fused rank, as if both lists were complete.
+
+    Lists of :func:`list_depth` rows hold every possible result; a row that one of them lacks gets
+    its true rank there by a counting scan.
+    """
+    depth = list_depth(k)
+    vectors = cut_lineage(vector_list(index, queries, depth), "vector-list")
+    words = cut_lineage(keyword_list(index, queries, depth), "keyword-list")
+    if index.centroids is not None and index.probes is not None:
+        by_vector = ivf_scan(index.rows, index.centroids, queries, index.probes)
+    else:
+        by_vector = exact_scan(index.rows, queries)
+    by_word = bm25_scan(index.rows, queries, lexicon=index.lexicon, size=index.size)
+    if by_word is None:  # too many different terms for one scan: fewer queries at a time
+        half = max(1, queries.count() // 2)
+        return in_batches(queries, "query_id", half, lambda part: hybrid_list(index, part, k))
+    return fuse_ranks(complete_list(by_vector, vectors, words), complete_list(by_word, words, vectors), k)
+
+
 def search(index: SearchIndex, queries: DataFrame, query_type: str = "ANN",
-           num_results: int = 10, columns: tuple[str, ...] = ("file_name", "chunk_text"),
-           rank_window: int = RANK_WINDOW) -> DataFrame:
+           num_results: int = 10, columns: tuple[str, ...] = ("file_name", "chunk_text")) -> DataFrame:
     """Top results per query.
 
     ``ANN`` needs ``query_vector``; ``FULL_TEXT`` needs ``query`` and ignores a vector;
-    ``HYBRID`` needs both and fuses the first ``rank_window`` results of each list.
+    ``HYBRID`` needs both and fuses the ranks of both lists (:func:`hybrid_list`).
     """
     kind = query_type.upper()
     needs = {"ANN": {"query_vector"}, "FULL_TEXT": {"query"},
@@ -77,8 +98,8 @@ def search(index: SearchIndex, queries: DataFrame, query_type: str = "ANN",
     elif kind == "FULL_TEXT":
         found = normalise_scores(keyword_list(index, queries, num_results))
     else:
-        found = fuse_ranks(vector_list(index, queries, rank_window),
-                           keyword_list(index, queries, rank_window), num_results)
+        found = in_batches(queries, "query_id", HYBRID_QUERIES,
+                           lambda part: hybrid_list(index, part, num_results))
     keywords = kind == "HYBRID" and "keywords" in queries.columns
     stored = tuple(dict.fromkeys([*columns, *(["chunk_text"] if keywords else [])]))
     most = None if wanted is None else wanted.count() * num_results
@@ -101,7 +122,8 @@ def attach(found: DataFrame, rows: DataFrame, columns: tuple[str, ...],
     if most is None:
         return found.join(stored, "chunk_id")
     if most > LOOKUP_ROWS:
-        return stored.join(F.broadcast(found), "chunk_id")
+        found = cut_lineage(found, "result-list")
+        return stored.join(F.broadcast(found) if fits_broadcast(found, F.lit(128)) else found, "chunk_id")
     short = held_locally(found, LOOKUP_ROWS)
     keys = sorted({r.chunk_id for r in short.select("chunk_id").collect()})
     return stored.filter(F.col("chunk_id").isin(keys)).join(F.broadcast(short), "chunk_id")

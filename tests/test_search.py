@@ -12,7 +12,7 @@ from strataseek.operators.fulltext import (bm25_joined, bm25_top_k, document_fre
                                            normalise_scores, with_tokens)
 from strataseek.operators.hybrid import fuse_ranks
 from strataseek.operators.vector_search import (assign_cells, exact_top_k, ivf_top_k, lsh_top_k,
-                                                recall_at_k, train_cells)
+                                                recall_at_k, train_cells, with_buckets)
 from strataseek.plans.retrieval import (SearchIndex, embed_queries, search, search_all_methods)
 from strataseek.plans import searchbench
 
@@ -62,7 +62,7 @@ def test_exact_top_k(vectors_df, metric):
     found = exact_top_k(corpus, queries, 7, metric)
     assert rows(found, "query_id", "rank", "chunk_id") == brute(made, asked, 7, metric)
     assert "WindowGroupLimit" in plan_of(found)
-    tiled = exact_top_k(corpus, queries, 7, metric, max_queries=2, tile_rows=100)
+    tiled = exact_top_k(corpus, queries, 7, metric, max_queries=2)
     assert rows(tiled, "query_id", "rank", "chunk_id") == brute(made, asked, 7, metric)
 
 
@@ -81,8 +81,8 @@ def test_ivf_with_all_cells_is_exact_and_recall_grows(vectors_df):
         recalls.append(recall_at_k(part, exact, 10).agg(F.avg("recall")).first()[0])
     assert recalls == sorted(recalls) and recalls[-1] == 1.0 and recalls[0] > 0
     beyond = ivf_top_k(indexed, model, queries, 2, 10, max_queries=1)
-    assert rows(beyond, "query_id", "rank", "chunk_id") == rows(exact, "query_id", "rank",
-                                                               "chunk_id")
+    assert rows(beyond, "query_id", "rank", "chunk_id") == rows(
+        ivf_top_k(indexed, model, queries, 2, 10), "query_id", "rank", "chunk_id")
 
 
 def test_lsh_returns_exact_scores(vectors_df):
@@ -92,6 +92,9 @@ def test_lsh_returns_exact_scores(vectors_df):
              for r in exact_top_k(good, queries, 1000).collect()}
     found = lsh_top_k(good, queries, 10, bucket_length=1.0, tables=6).collect()
     assert found and all(exact[(r.query_id, r.chunk_id)] == r.score for r in found)
+    stored = lsh_top_k(with_buckets(good, 16, 1.0, 6), queries, 10, bucket_length=1.0, tables=6, max_queries=1)
+    assert rows(stored, "query_id", "rank", "chunk_id") == sorted(
+        (r.query_id, r["rank"], r.chunk_id) for r in found)
     # a query equal to stored rows shares all their buckets
     assert [r.chunk_id for r in found if r.query_id == 0 and r.rank == 1] == ["k0000"]
 

@@ -30,6 +30,14 @@ def vec(e: str) -> str:
 
 _BENT = ring(*[(f"(x0 + {a})", f"(y0 + {b})") for a, b in (
     (0.0, 0.0), (12.0, 0.0), (12.0, 2.5), (6.0, 2.5), (6.0, 5.0), (0.0, 5.0))])
+
+
+def _significant(x: str) -> str:
+    """``x`` rounded to nine significant digits."""
+    scale = f"pow(10, 8 - floor(log10(abs({x}))))"
+    return f"CASE WHEN {x} = 0 THEN 0 ELSE round(({x}) * {scale}) / {scale} END"
+
+
 _R2 = "ROUND(CAST(AVG({0}) AS DECIMAL(30,12)), 2)::DOUBLE"
 _CLEAN = ("trim(regexp_replace(regexp_replace({0}, '[\\s\\x0b]+', ' ', 'g'), "
           "'[^\\x00-\\x7F]+', '', 'g'))")
@@ -186,16 +194,17 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                      COUNT(*)::DOUBLE AS n
               FROM (SELECT query_id, unnest(regexp_extract_all(lower(query), '[a-z0-9]+')) AS t
                     FROM qs) GROUP BY ALL)"""),
-    "ann_list": (("chunk_bucket", "query_bucket"), """
+    "ann_list": (("chunk_bucket", "query_bucket"), f"""
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank
-        FROM (SELECT query_id, chunk_id, ROUND(SUM(q.v * c.v), 9) AS score
+        FROM (SELECT query_id, chunk_id, {_significant("SUM(q.v * c.v)")} AS score
               FROM query_bucket q JOIN chunk_bucket c USING (b) GROUP BY ALL)"""),
     "corpus": (("idx",), "SELECT COUNT(*) AS n, SUM(len(tokens)) / COUNT(*) AS avgdl FROM idx"),
-    "ft_list": (("idx", "qs", "corpus"), """
+    "ft_list": (("idx", "qs", "corpus"), f"""
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank
-        FROM (SELECT query_id, chunk_id, ROUND(SUM(
+        FROM (SELECT query_id, chunk_id, {_significant("s")} AS score FROM (
+              SELECT query_id, chunk_id, SUM(
                 ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
-                / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))), 9) AS score
+                / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))) AS s
               FROM (SELECT *, COUNT(*) OVER (PARTITION BY t) AS df
                     FROM (SELECT chunk_id, len(tokens) AS dl, t, COUNT(*) AS tf
                           FROM (SELECT chunk_id, tokens, unnest(tokens) AS t FROM idx)
@@ -203,24 +212,20 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
               JOIN (SELECT DISTINCT query_id,
                            unnest(regexp_extract_all(lower(query), '[a-z0-9]+')) AS t
                     FROM qs) q USING (t), corpus
-              GROUP BY query_id, chunk_id)"""),
+              GROUP BY query_id, chunk_id))"""),
     "ft_norm": (("ft_list",), """
         SELECT query_id, chunk_id, score, rank, (score - lo) / CASE WHEN hi = lo THEN 1.0
                ELSE hi - lo END AS normalized_score
         FROM (SELECT *, MIN(score) OVER (PARTITION BY query_id) AS lo,
                      MAX(score) OVER (PARTITION BY query_id) AS hi
               FROM ft_list WHERE rank <= 10)"""),
-    "hybrid_list": (("ann_list", "ft_list"), """
-        SELECT * FROM (
-          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id)
-                    AS rank
-          FROM (SELECT query_id, chunk_id, a.score AS vector_score, f.score AS keyword_score,
-                       ROUND(coalesce(1.0::DOUBLE / (60 + a.rank), 0)
-                             + coalesce(1.0::DOUBLE / (60 + f.rank), 0), 9) AS score
-                FROM (SELECT * FROM ann_list WHERE rank <= 100) a
-                FULL JOIN (SELECT * FROM ft_list WHERE rank <= 100) f
-                USING (query_id, chunk_id)))
-        WHERE rank <= 10"""),
+    "hybrid_all": (("ann_list", "ft_list"), f"""
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank
+        FROM (SELECT query_id, chunk_id, a.score AS vector_score, f.score AS keyword_score,
+                     {_significant("""coalesce(1.0::DOUBLE / (60 + a.rank), 0)
+                             + coalesce(1.0::DOUBLE / (60 + f.rank), 0)""")} AS score
+              FROM ann_list a FULL JOIN ft_list f USING (query_id, chunk_id))"""),
+    "hybrid_list": (("hybrid_all",), "SELECT * FROM hybrid_all WHERE rank <= 10"),
     "hybrid": (("hybrid_list", "qs", "idx"), """
         SELECT h.*, len(list_filter(keywords, lambda w: contains(lower(chunk_text), w)))
                     AS keyword_matches
@@ -247,6 +252,23 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                            generate_subscripts(embedding, 1) AS d FROM vecs)
               GROUP BY label, d)
         GROUP BY label"""),
+    "vec_cells": (("vecs", "label_q"), """
+        SELECT vec_id, arg_min(label_q.query_id, (list_distance(embedding, q), label_q.query_id)) AS cell
+        FROM vecs, label_q GROUP BY vec_id"""),
+    "probed": (("label_q",), """
+        SELECT a.query_id, b.query_id AS cell FROM label_q a, label_q b
+        QUALIFY row_number() OVER (PARTITION BY a.query_id
+                                   ORDER BY list_distance(a.q, b.q), b.query_id) <= 4"""),
+    "planes": ((), """
+        SELECT t, d, sin(pow(t * 64 + d, 2)) AS w FROM range(8) x(t), range(1, 65) y(d)"""),
+    "vec_buckets": (("vecs", "planes"), """
+        SELECT vec_id, t, floor(SUM(v * w) / 0.5) AS bucket
+        FROM (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS d FROM vecs)
+        JOIN planes USING (d) GROUP BY vec_id, t"""),
+    "query_buckets": (("label_q", "planes"), """
+        SELECT query_id, t, floor(SUM(v * w) / 0.5) AS bucket
+        FROM (SELECT query_id, unnest(q) AS v, generate_subscripts(q, 1) AS d FROM label_q)
+        JOIN planes USING (d) GROUP BY query_id, t"""),
     "batch": (("vecs",), """
         SELECT CASE WHEN label = 3 THEN NULL WHEN label % 2 = 0 THEN chunk_id
                     ELSE sha256(CAST(vec_id + 1000000 AS VARCHAR)) END AS chunk_id,
@@ -348,13 +370,25 @@ _EVENT_COLUMNS = f"""event_id, {_STAMP.format('event_timestamp')} AS event_times
     depth_km, magnitude, place, location_point, location_point AS location_geography"""
 
 
-def _topk(score: str) -> str:
+def _topk(score: str, where: str = "TRUE", *needs: str) -> str:
     return sql(f"""SELECT query_id, chunk_id, ROUND(score, 6) AS score, rank
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id)
                         AS rank
-              FROM (SELECT CAST(query_id AS BIGINT) AS query_id, chunk_id,
-                           ROUND({score}, 9) AS score FROM vecs, label_q))
-        WHERE rank <= 10""", "vecs", "label_q")
+              FROM (SELECT query_id, chunk_id, {_significant("s")} AS score FROM (
+                    SELECT CAST(query_id AS BIGINT) AS query_id, chunk_id, {score} AS s FROM vecs, label_q WHERE {where})))
+        WHERE rank <= 10""", "vecs", "label_q", *needs)
+
+
+_IN_PROBED_CELL = """(query_id, (SELECT cell FROM vec_cells c WHERE c.vec_id = vecs.vec_id)) IN (
+    SELECT query_id, cell FROM probed)"""
+_IN_BUCKET = """(query_id, vecs.vec_id) IN (
+    SELECT q.query_id, v.vec_id FROM vec_buckets v JOIN query_buckets q USING (t, bucket))"""
+_COSINE = "list_cosine_similarity(embedding, q)"
+_RECALL = sql(f"""
+    SELECT e.query_id, ROUND(COUNT(a.chunk_id) / COUNT(*)::DOUBLE, 6) AS recall
+    FROM ({_topk(_COSINE)}) e
+    LEFT JOIN ({_topk(_COSINE, _IN_PROBED_CELL, "vec_cells", "probed")}) a USING (query_id, chunk_id)
+    GROUP BY e.query_id""")
 
 
 def _pivot(value: str, digits: int, source: str, *needs: str) -> str:
@@ -684,7 +718,11 @@ def all_oracles() -> dict[str, str]:
         "vector_topk_exact": _topk("list_cosine_similarity(embedding, q)"),
         "vector_topk_dot": _topk("list_inner_product(embedding, q)"),
         "vector_topk_l2": _topk("1 / (1 + pow(list_distance(embedding, q), 2))"),
-        "vector_topk_ivf_all_cells": _topk("list_cosine_similarity(embedding, q)"),
+        "vector_topk_l2_far": _topk("1 / (1 + 1e10 * pow(list_distance(embedding, q), 2))"),
+        "vector_topk_ivf": _topk(_COSINE, _IN_PROBED_CELL, "vec_cells", "probed"),
+        "vector_topk_ivf_all_cells": _topk(_COSINE),
+        "vector_topk_lsh": _topk(_COSINE, _IN_BUCKET, "vec_buckets", "query_buckets"),
+        "ann_recall": _RECALL,
         # -------------------------------------------------------- search
         "query_set": sql("SELECT query_id, query, array_to_string(keywords, '|') AS keywords, "
                          "category FROM qs", "qs"),
@@ -702,6 +740,9 @@ def all_oracles() -> dict[str, str]:
                    ROUND(vector_score, 6) AS vector_score,
                    ROUND(keyword_score, 6) AS keyword_score, rank, keyword_matches
             FROM hybrid""", "hybrid"),
+        "hybrid_rrf_deep": sql("""
+            SELECT query_id, chunk_id, ROUND(score, 6) AS score, rank
+            FROM hybrid_all WHERE rank <= 500""", "hybrid_all"),
         "search_all_methods": sql(
             "SELECT * REPLACE (ROUND(score, 6) AS score) FROM results", "results"),
         # -------------------------------------------------------- benchmark analysis

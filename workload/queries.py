@@ -6,6 +6,7 @@ import functools
 from collections.abc import Callable
 from datetime import date
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +19,7 @@ from strataseek.operators.spatial_join import (points_per_polygon, polygon_inter
                                                polygon_left_join, with_polygon_id,
                                                within_distance_join)
 from strataseek.operators.vector_search import (assign_cells, exact_top_k, ivf_top_k, lsh_top_k,
-                                                recall_at_k, train_cells)
+                                                recall_at_k, with_buckets)
 from strataseek.plans import dashboards, documents, medallion, searchbench
 from strataseek.plans.retrieval import SearchIndex, embed_queries, search, search_all_methods
 from strataseek.session import ship_package, work_path
@@ -640,11 +641,22 @@ def vector_topk_l2(spark, sf_dir):
     return flat(found, 6)
 
 
-def _ivf(spark, sf_dir, probes, cells=8):
+@query
+def vector_topk_l2_far(spark, sf_dir):
+    def far(df, column):
+        return df.withColumn(column, F.transform(column, lambda x: x * 1e5))
+
+    found = exact_top_k(far(fx.vector_rows(spark, sf_dir), "embedding"),
+                        far(fx.label_queries(spark, sf_dir), "query_vector"), SEARCH_K, metric="l2")
+    return flat(found, 6)
+
+
+def _ivf(spark, sf_dir, probes):
+    """Cells around the label means: one short row per label."""
+    queries = fx.label_queries(spark, sf_dir)
+    centres = np.array([r.query_vector for r in queries.orderBy("query_id").collect()])
     rows = fx.vector_rows(spark, sf_dir).select("chunk_id", "embedding")
-    model = train_cells(rows, cells)
-    return ivf_top_k(assign_cells(rows, model), model, fx.label_queries(spark, sf_dir),
-                     probes, SEARCH_K)
+    return ivf_top_k(assign_cells(rows, centres), centres, queries, probes or len(centres), SEARCH_K)
 
 
 @query
@@ -654,13 +666,13 @@ def vector_topk_ivf(spark, sf_dir):
 
 @query
 def vector_topk_ivf_all_cells(spark, sf_dir):
-    return flat(_ivf(spark, sf_dir, probes=8), 6)
+    return flat(_ivf(spark, sf_dir, probes=None), 6)
 
 
 @query
 def vector_topk_lsh(spark, sf_dir):
-    return flat(lsh_top_k(fx.vector_rows(spark, sf_dir).select("chunk_id", "embedding"),
-                          fx.label_queries(spark, sf_dir), SEARCH_K), 6)
+    rows = with_buckets(fx.vector_rows(spark, sf_dir).select("chunk_id", "embedding"), 64)
+    return flat(lsh_top_k(rows, fx.label_queries(spark, sf_dir), SEARCH_K), 6)
 
 
 @query
@@ -704,6 +716,13 @@ def hybrid_rrf(spark, sf_dir):
     return flat(found, 6)
 
 
+@query
+def hybrid_rrf_deep(spark, sf_dir):
+    found = search(search_index(spark, sf_dir), search_queries(spark, sf_dir), "HYBRID",
+                   500, columns=())
+    return flat(found.select("query_id", "chunk_id", "score", "rank"), 6)
+
+
 @query
 def search_all_methods_(spark, sf_dir):
     return flat(search_results(spark, sf_dir), 6)
