@@ -14,6 +14,8 @@ STRIP_CHARS = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680"
 # A chunk may end after one of these, up to this far before its limit.
 SENTENCE_ENDS = ".!?\n"
 LOOK_BACK = 100
+# Chunks that are gathered before they are put aside.
+_SHELF = 128
 
 
 def _column(value: Column | str) -> Column:
@@ -45,8 +47,8 @@ def chunk_text(text: Column | str, size: int = 500, overlap: int = 50) -> Column
     before the cut. Chunks are stripped and empty ones dropped; a text that gives
     none is returned whole, null or empty text gives an empty array.
 
-    The text is first split into fixed pieces, so each step reads two pieces and
-    the cost stays linear in the length of the document.
+    The text is first split into fixed pieces, so each step reads two pieces. Chunks are
+    gathered on shelves of ``_SHELF``, so a step copies no more than one shelf.
     """
     check_chunking(size, overlap)
     piece = max(4096, size + 1)
@@ -60,6 +62,11 @@ def chunk_text(text: Column | str, size: int = 500, overlap: int = 50) -> Column
         hit = F.instr(F.reverse(window), ".")
         return F.when(hit > 0, F.lit(size + 2) - hit).otherwise(F.lit(size))
 
+    empty = F.array().cast("array<string>")
+
+    def full(state: Column) -> Column:
+        return F.size(state["chunks"]) >= _SHELF
+
     def chunks(t: Column) -> Column:
         n = F.length(t)
 
@@ -79,17 +86,21 @@ def chunk_text(text: Column | str, size: int = 500, overlap: int = 50) -> Column
                             F.when(state["start"] + length < n,
                                    state["start"] + length - overlap)
                             .otherwise(F.lit(-1)).cast("int").alias("start"),
-                            F.when(chunk == "", state["chunks"])
-                            .otherwise(F.concat(state["chunks"], F.array(chunk)))
-                            .alias("chunks"))))
+                            F.when(full(state), F.concat(state["done"], F.array(state["chunks"])))
+                            .otherwise(state["done"]).alias("done"),
+                            let(F.when(full(state), empty).otherwise(state["chunks"]),
+                                lambda held: F.when(chunk == "", held)
+                                .otherwise(F.concat(held, F.array(chunk)))).alias("chunks"))))
 
                 return F.when(state["start"] < 0, state).otherwise(
                     let(segment(state["start"]), advance))
 
             steps = F.sequence(F.lit(1), F.floor(n / shortest_step).cast("int") + 1)
             begin = F.struct(F.lit(0).alias("start"),
-                             F.array().cast("array<string>").alias("chunks"))
-            return F.aggregate(steps, begin, step, lambda s: s["chunks"])
+                             F.array().cast("array<array<string>>").alias("done"),
+                             empty.alias("chunks"))
+            return F.aggregate(steps, begin, step, lambda s: F.concat(
+                F.flatten(s["done"]), s["chunks"]))
 
         made = let(F.regexp_extract_all(t, F.lit(rf"(?s).{{1,{piece}}}"), F.lit(0)), walk)
         return F.when(F.coalesce(n, F.lit(0)) == 0, F.array().cast("array<string>")).otherwise(

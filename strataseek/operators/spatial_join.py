@@ -157,6 +157,8 @@ def polygon_left_join(points: DataFrame, polygons: DataFrame, wkt: str, keys: li
     polygon.
     """
     matches = point_in_polygon_join(points, polygons, wkt, keys, **join_options)
+    if has_work_folder(matches.sparkSession):  # read twice below, computed once
+        matches = cut_lineage(matches, "polygon-matches")
     matched = matches.select(*keys).distinct()
     missing = polygons.select(*keys).join(
         matched, [polygons[k].eqNullSafe(matched[k]) for k in keys], "left_anti")

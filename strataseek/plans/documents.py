@@ -51,15 +51,11 @@ def silver_chunks(clean: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK
     made = F.transform(chunks, lambda c, i: F.struct(
         text.chunk_key(F.col("file_name"), c).alias("chunk_id"),
         i.alias("chunk_position"), c.alias("chunk_text")))
-    numbered = clean.withColumn("__made", made)
-    if distinct:
-        ids = F.transform("__made", lambda m: m["chunk_id"])
-        numbered = (numbered.withColumn("__ids", ids)
-                    .withColumn("__made", F.filter("__made", lambda m: F.array_position(
-                        F.col("__ids"), m["chunk_id"]) == m["chunk_position"] + 1))
-                    .drop("__ids"))
-    return (numbered.select(*clean.columns,
-                            F.posexplode(F.array_sort("__made")).alias("__i", "__c"))
+    ordered = F.array_sort(made)
+    if distinct:  # equal ids stand side by side, the first in reading order comes first
+        ordered = text.let(ordered, lambda all_: F.filter(all_, lambda m, i: (i == 0) | (
+            F.get(all_, i - 1)["chunk_id"] != m["chunk_id"])))
+    return (clean.select(*clean.columns, F.posexplode(ordered).alias("__i", "__c"))
             .select(*clean.columns,
                     F.col("__c.chunk_text").alias("chunk_text"),
                     F.col("__c.chunk_id").alias("chunk_id"),

@@ -64,8 +64,8 @@ def ingest_summary(papers: DataFrame, run_stamp: str) -> DataFrame:
     """
     record = F.struct(
         "paper_id", preview("title", 100).alias("title"),
-        F.concat(F.lit("paper_"), safe_id("paper_id"), F.lit(f"_{run_stamp}.txt"))
-        .alias("text_file"))
+        *[F.concat(F.lit("paper_"), safe_id("paper_id"), F.lit(f"_{run_stamp}.{kind}"))
+          .alias(name) for name, kind in (("text_file", "txt"), ("json_file", "json"))])
     return papers.groupBy("query").agg(
         F.lit(run_stamp).alias("timestamp"),
         F.max("hit_count").alias("total_available"),

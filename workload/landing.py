@@ -65,9 +65,9 @@ def state_geojson(spark: SparkSession, sf_dir: str) -> str:
             F.to_json(F.struct(F.col("state_fips").alias("STATEFP"),
                                F.col("state_code").alias("STUSPS"),
                                F.col("state_name").alias("NAME"))),
-            F.lit(',"geometry":'), wkt_to_geojson("geometry_wkt"), F.lit("}]}"))
-        (fx.states_raw(spark, sf_dir).filter(F.col("geometry_wkt").endswith("))"))
-         .select(collection).write.text(path))
+            F.lit(',"geometry":'), F.when(F.col("geometry_wkt").endswith("))"),
+                                          wkt_to_geojson("geometry_wkt")).otherwise("null"), F.lit("}]}"))
+        fx.states_raw(spark, sf_dir).select(collection).write.text(path)
 
     return landed(spark, sf_dir, "state-geojson", write)
 

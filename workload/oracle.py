@@ -137,8 +137,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         GROUP BY ALL"""),
     "own_cell": (("ev", "nat"), """
         SELECT e.event_id, longitude, latitude, n.state_fips, n.k
-        FROM ev e JOIN nat n ON longitude > x0 AND longitude < x0 + 12
-                            AND latitude > y0 AND latitude < y0 + 5"""),
+        FROM ev e LEFT JOIN nat n ON longitude >= x0 AND longitude < x0 + 12
+                                 AND latitude >= y0 AND latitude < y0 + 5"""),
     # ------------------------------------------------------------ documents
     "paper": ((), f"""
         SELECT doc_id, 'doc_' || doc_id || '.txt' AS file_name, source AS source_url,
@@ -442,7 +442,7 @@ def _edges() -> str:
 def all_oracles() -> dict[str, str]:
     parts_hit = """EXISTS (SELECT 1 FROM state_rects r WHERE r.state_fips = o.state_fips
         AND longitude > x1 AND longitude < x2 AND latitude > y1 AND latitude < y2)"""
-    inside = f"CASE WHEN k = 24 THEN NULL ELSE {parts_hit} END"
+    inside = f"CASE WHEN k = 24 OR k IS NULL THEN NULL ELSE {parts_hit} END"
     oracles = {
         # -------------------------------------------------------- sources
         "src_geojson_features": sql(
@@ -450,7 +450,7 @@ def all_oracles() -> dict[str, str]:
             "FROM ev_raw", "ev_raw"),
         "src_boundary_wkt": sql(
             "SELECT 'geojson' AS format, state_fips, state_code, state_name, geometry "
-            "FROM states WHERE geometry IS NOT NULL UNION ALL "
+            "FROM states UNION ALL "
             "SELECT 'wkt', state_fips, state_code, state_name, geometry FROM states", "states"),
         "src_binary_files": sql(
             "SELECT file_name, octet_length(encode(raw_content)) + 1 AS size_bytes, "
@@ -469,7 +469,8 @@ def all_oracles() -> dict[str, str]:
                    CASE WHEN length(title) > 100 THEN substr(title, 1, 100) || '...'
                         ELSE title END AS title,
                    'paper_' || replace(replace(paper_id, '/', '_'), ' ', '_')
-                   || '_20240101_000000.txt' AS text_file
+                   || '_20240101_000000.txt' AS text_file,
+                   replace(text_file, '.txt', '.json') AS json_file
             FROM pj""", "pj"),
         "src_atom_xml": """
             SELECT page_id || 'v1' AS paper_id, 'Page ' || url AS title,
@@ -496,8 +497,30 @@ def all_oracles() -> dict[str, str]:
             "FROM ev_raw", "ev_raw"),
         "sink_partitioned_events": sql("""
             SELECT CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date,
-                   COUNT(*) AS n, SUM(magnitude) AS total FROM ev
-            WHERE CAST(event_timestamp AS DATE) >= DATE '2024-01-10' GROUP BY 1""", "ev"),
+                   COUNT(*) AS n, SUM(magnitude) AS total FROM ev GROUP BY 1""", "ev"),
+        "sink_save_table": sql("""
+            SELECT state_fips, earthquake_count, avg_magnitude FROM gold_state""", "gold_state"),
+        "iso_stamps": sql("""
+            SELECT event_id, CASE WHEN microsecond(event_timestamp) % 1000000 = 0
+                     THEN strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S')
+                     ELSE strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') END AS iso,
+                   strftime(event_timestamp, '%Y%m%d_%H%M%S') AS stamp FROM ev""", "ev"),
+        "embed_model_hook": sql("""
+            SELECT file_name, CASE WHEN ok THEN length(c) ELSE 0 END::DOUBLE AS a,
+                   CASE WHEN ok THEN length(c) - length(replace(c, ' ', '')) ELSE 0 END::DOUBLE AS b,
+                   CASE WHEN ok THEN length(c) - length(replace(c, ',', '')) ELSE 0 END::DOUBLE AS c,
+                   ok AS embedding_ok
+            FROM (SELECT *, NOT regexp_matches(c, '[0-9]') AS ok FROM clean)""", "clean"),
+        "search_columns": sql("""
+            SELECT query_id, chunk_id, rank, file_name
+            FROM ft_list JOIN idx USING (chunk_id) WHERE rank <= 10""", "ft_list", "idx"),
+        "sql_functions": sql(f"""
+            SELECT o.event_id, {inside} AS contained,
+                   ROUND(sqrt(pow(longitude - cx, 2) + pow(latitude - cy, 2)), 6) AS distance
+            FROM own_cell o LEFT JOIN state_centres c ON o.state_fips = c.state_fips""",
+            "own_cell", "state_rects", "state_centres"),
+        "index_failed_keys": sql(
+            "SELECT chunk_id FROM batch WHERE chunk_id IS NULL OR len(embedding) <> 64", "batch"),
         "sink_merge_schema": sql("""
             SELECT state_fips, state_name, NULL::VARCHAR AS geometry, 1::BIGINT AS version
             FROM states

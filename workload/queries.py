@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataseek.functions import geo, text, wkb
+from strataseek.functions.sql import register_sql_functions
 from strataseek.operators import index_table
-from strataseek.operators.embed import embed_hashing
+from strataseek.operators.embed import embed_hashing, embed_with_model
 from strataseek.operators.fulltext import bm25_top_k, document_frequency, normalise_scores
 from strataseek.operators.spatial_join import (points_per_polygon, polygon_intersects_join,
                                                polygon_left_join, with_polygon_id,
@@ -254,9 +255,68 @@ def sink_partitioned_events(spark, sf_dir):
     path = work_path(spark, "silver-events")
     sinks.write_parquet(silver_events_table(spark, sf_dir), path, partition_by="event_date")
     back = spark.read.parquet(path)
-    return flat(back.filter(F.col("event_date") >= F.lit("2024-01-10").cast("date"))
-                .groupBy("event_date").agg(F.count(F.lit(1)).alias("n"),
-                                           F.sum("magnitude").alias("total")))
+    return flat(back.groupBy("event_date").agg(F.count(F.lit(1)).alias("n"),
+                                               F.sum("magnitude").alias("total")))
+
+
+@query
+def sink_save_table(spark, sf_dir):
+    """Gold metrics written as a table of a namespace, replaced once, and read back."""
+    sinks.ensure_namespace(spark, "gold_layer")
+    gold = flat(gold_by_state(spark, sf_dir).select("state_fips", "earthquake_count", "avg_magnitude"))
+    path = work_path(spark, "gold-table")
+    name = "gold_layer.by_state_" + path.rsplit("-", 1)[-1]
+    sinks.save_table(gold, name, path)
+    sinks.save_table(gold, name, path)
+    return spark.table(name)
+
+
+@query
+def iso_stamps(spark, sf_dir):
+    return silver_events_table(spark, sf_dir).select(
+        "event_id", text.iso_text("event_timestamp").alias("iso"),
+        text.run_stamp("event_timestamp").alias("stamp"))
+
+
+@query
+def embed_model_hook(spark, sf_dir):
+    """A deterministic model: length, words and commas; it fails on texts with a digit."""
+    def load():
+        def model(texts):
+            if any(c.isdigit() for t in texts for c in t):
+                raise ValueError("digit")
+            return [[float(len(t)), float(t.count(" ")), float(t.count(","))] for t in texts]
+
+        return model
+
+    rows = silver_clean(spark, sf_dir).select("file_name", "cleaned_content")
+    made = embed_with_model(rows, load, 3, "cleaned_content", batch_texts=1)
+    return made.select("file_name", F.col("embedding")[0].alias("a"), F.col("embedding")[1].alias("b"),
+                       F.col("embedding")[2].alias("c"), "embedding_ok")
+
+
+@query
+def search_columns(spark, sf_dir):
+    """Full-text search that ignores a vector and returns the columns asked for."""
+    found = search(search_index(spark, sf_dir), search_queries(spark, sf_dir), "FULL_TEXT", SEARCH_K,
+                   columns=("file_name",))
+    return flat(found.select("query_id", "chunk_id", "rank", "file_name"))
+
+
+@query
+def sql_functions(spark, sf_dir):
+    """The SQL functions on every event and the text of its own polygon."""
+    register_sql_functions(spark)
+    _own_cell(spark, sf_dir).createOrReplaceTempView("own_cell_events")
+    return spark.sql("""
+        SELECT event_id, st_contains(geometry_wkt, st_point(longitude, latitude)) AS contained,
+               round(st_distance(st_point(longitude, latitude), st_centroid(geometry_wkt)), 6) AS distance
+        FROM own_cell_events""")
+
+
+@query
+def index_failed_keys(spark, sf_dir):
+    return index_table.failed_keys(fx.upsert_batch(spark, sf_dir), 64)
 
 
 @query
@@ -464,12 +524,14 @@ def geo_polygon_normalize(spark, sf_dir):
 
 
 def _own_cell(spark, sf_dir):
-    """Every event with the polygon of its own grid cell, an equi-join on the cell."""
-    i = F.floor((F.col("longitude") + 125) / 12) + 5 * F.floor((F.col("latitude") - 24) / 5)
+    """Every event with the polygon of its own grid cell, an equi-join on the cell; events
+    outside the grid have no polygon."""
+    column, row = F.floor((F.col("longitude") + 125) / 12), F.floor((F.col("latitude") - 24) / 5)
+    inside = (column >= 0) & (column < 5) & (row >= 0)
     events = (silver_events_table(spark, sf_dir).select("event_id", "longitude", "latitude")
-              .withColumn("state_fips", F.lpad(i.cast("string"), 2, "0")))
+              .withColumn("cell", F.when(inside, F.lpad((column + 5 * row).cast("string"), 2, "0"))))
     states = fx.states_raw(spark, sf_dir).select("state_fips", "geometry_wkt")
-    return events.join(states, "state_fips").withColumn(
+    return events.join(states, events["cell"] == states["state_fips"], "left").withColumn(
         "point", geo.st_point("longitude", "latitude"))
 
 
@@ -508,7 +570,7 @@ def _centroids(spark, sf_dir):
 
 def _event_centroid(spark, sf_dir):
     events = _own_cell(spark, sf_dir).select("event_id", "state_fips", "point")
-    return events.join(_centroids(spark, sf_dir), "state_fips")
+    return events.join(_centroids(spark, sf_dir), "state_fips", "left")
 
 
 @query
@@ -563,7 +625,8 @@ def geo_wkb_roundtrip(spark, sf_dir):
 
 @query
 def bronze_papers(spark, sf_dir):
-    return flat(fx.bronze_papers(spark, sf_dir))
+    landed = fx.bronze_papers(spark, sf_dir)
+    return flat(documents.bronze_papers(landed, F.col("source_url"), F.col("ingestion_timestamp")))
 
 
 @query
