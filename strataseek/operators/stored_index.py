@@ -1,0 +1,186 @@
+"""A search index kept as Parquet: rows by vector cell, postings by term bucket.
+
+Layout below one folder:
+
+* ``centres`` - one row per cell;
+* ``rows/version=V/cell=C`` - the index rows of a cell, as one version wrote them;
+* ``postings/version=V/bucket=B`` - ``term, chunk_id, tf, length`` of the terms of a bucket;
+* ``parts`` - appended by every write: which version holds a cell or bucket from then on;
+* ``settings`` - vector length and number of buckets.
+
+A write makes new versions of the cells and buckets it touches and appends to ``parts`` last, so
+readers see either the old or the new state, and everything else stays where it is. A vector
+search reads the cells that its queries probe, a keyword search the buckets of its terms.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from functools import cached_property
+
+import numpy as np
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strataseek.functions.text import iso_text
+from strataseek.operators.dedupe import earliest_per_key
+from strataseek.operators.index_table import check_rows, describe_index
+from strataseek.operators.vector_search import assign_cells
+from strataseek.session import cut_lineage, fits_broadcast
+
+DEFAULT_BUCKETS = 64
+
+
+def _bucket(term: Column | str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def _stamped(rows: DataFrame, stamp: Column | None) -> DataFrame:
+    return rows.withColumn("updated_at", F.lit(None).cast("string") if stamp is None else iso_text(stamp))
+
+
+def _postings(rows: DataFrame, buckets: int) -> DataFrame:
+    terms = rows.select("chunk_id", F.size("tokens").alias("length"), F.explode("tokens").alias("term"))
+    counted = terms.groupBy("term", "chunk_id", "length").agg(F.count(F.lit(1)).alias("tf"))
+    return counted.withColumn("bucket", _bucket("term", buckets))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    try:
+        return spark.read.parquet(f"{path}/settings").count() > 0
+    except AnalysisException:
+        return False
+
+
+def create_index(rows: DataFrame, path: str, centres: np.ndarray, buckets: int = DEFAULT_BUCKETS) -> StoredIndex:
+    """Write ``rows`` (chunk_id, embedding and any others; tokens for keyword search) as an index.
+
+    An index that is already there is opened as it is.
+    """
+    spark = rows.sparkSession
+    if not exists(spark, path):
+        centres = np.asarray(centres, float)
+        spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centres)],
+                              "cell int, centre array<double>").coalesce(1).write.parquet(f"{path}/centres")
+        index = StoredIndex(spark, path)
+        index._write(_stamped(rows, None), [], [], buckets, "tokens" in rows.columns)
+        spark.createDataFrame([(centres.shape[1], buckets)], "dimension int, buckets int") \
+            .coalesce(1).write.parquet(f"{path}/settings")
+    return open_index(spark, path)
+
+
+def open_index(spark: SparkSession, path: str) -> StoredIndex:
+    if not exists(spark, path):
+        raise FileNotFoundError(f"no index at {path}")
+    return StoredIndex(spark, path)
+
+
+@dataclass
+class StoredIndex:
+    spark: SparkSession
+    path: str
+
+    @cached_property
+    def settings(self) -> dict:
+        return self.spark.read.parquet(f"{self.path}/settings").first().asDict()
+
+    @cached_property
+    def centroids(self) -> np.ndarray:
+        held = self.spark.read.parquet(f"{self.path}/centres").orderBy("cell").collect()
+        return np.array([r.centre for r in held])
+
+    def _places(self, kind: str) -> dict[int, int]:
+        """Version of every cell or bucket in use; as many as the index has of them."""
+        try:
+            parts = self.spark.read.parquet(f"{self.path}/parts")
+        except AnalysisException:
+            return {}
+        newest = parts.filter(F.col("kind") == kind).groupBy("part").agg(
+            F.max(F.struct("version", "empty")).alias("last"))
+        return {r.part: r.last.version for r in newest.collect() if not r.last.empty}
+
+    def _read(self, kind: str, column: str, wanted: list[int] | None = None) -> DataFrame | None:
+        places = self._places(kind)
+        paths = [f"{self.path}/{kind}/version={v}/{column}={p}" for p, v in sorted(places.items())
+                 if wanted is None or p in wanted]
+        if not paths:
+            return None
+        return self.spark.read.option("basePath", f"{self.path}/{kind}").parquet(*paths).drop("version")
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return self._read("rows", "cell")
+
+    def cells(self, wanted: list[int]) -> DataFrame | None:
+        return self._read("rows", "cell", wanted)
+
+    def postings(self, terms: list[str]) -> DataFrame | None:
+        """Postings of the terms; only their buckets are read."""
+        buckets = self.settings["buckets"]
+        asked = self.spark.createDataFrame([(t,) for t in terms] or [("",)], "term string")
+        wanted = [r[0] for r in asked.select(_bucket("term", buckets)).distinct().collect()]
+        held = self._read("postings", "bucket", wanted)
+        return None if held is None else held.filter(F.col("term").isin(terms))
+
+    def describe(self) -> DataFrame:
+        return describe_index(self.rows.drop("cell", "updated_at"))
+
+    def _write(self, rows: DataFrame, cells: list[int], buckets_gone: list[int], buckets: int,
+               words: bool, postings: DataFrame | None = None) -> None:
+        """Write ``rows`` (and postings) as a new version; parts that became empty are marked."""
+        spark = self.spark
+        try:
+            version = spark.read.parquet(f"{self.path}/parts").agg(F.max("version")).first()[0] + 1
+        except AnalysisException:
+            version = 0
+        made = []
+        placed = rows if "cell" in rows.columns else assign_cells(rows, self.centroids)
+        placed.hint("rebalance", F.col("cell")).write.partitionBy("cell").parquet(f"{self.path}/rows/version={version}")
+        done = {r[0] for r in placed.select("cell").distinct().collect()}
+        made += [("rows", c, version, c not in done) for c in done | set(cells)]
+        if words:
+            terms = _postings(placed, buckets) if postings is None else postings
+            terms.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "term").write \
+                .partitionBy("bucket").parquet(f"{self.path}/postings/version={version}")
+            done = {r[0] for r in spark.read.parquet(f"{self.path}/postings/version={version}")
+                    .select("bucket").distinct().collect()}
+            made += [("postings", b, version, b not in done) for b in done | set(buckets_gone)]
+        spark.createDataFrame(made, "kind string, part int, version int, empty boolean") \
+            .coalesce(1).write.mode("append").parquet(f"{self.path}/parts")
+
+    def upsert(self, batch: DataFrame, position: str | None = None,
+               stamp: Column | None = None) -> tuple[DataFrame, DataFrame]:
+        """Replace or add the valid rows of ``batch``; returns the report and the failed keys.
+
+        Only the cells that lose or gain a row, and the buckets of their terms, are rewritten. The
+        written rows carry ``stamp`` as ISO text in ``updated_at``.
+        """
+        spark, dim = self.spark, self.settings["dimension"]
+        checked = cut_lineage(check_rows(batch, dim), "upsert-batch")
+        valid = checked.filter("valid").drop("valid")
+        if position is not None:
+            valid = earliest_per_key(valid, "chunk_id", position)
+        columns = [c for c in self.rows.columns if c not in ("cell", "updated_at")]
+        fresh = cut_lineage(assign_cells(_stamped(valid.select(*columns), stamp), self.centroids), "upsert-rows")
+        keys = fresh.select("chunk_id")
+        keys = F.broadcast(keys) if fits_broadcast(keys, F.octet_length("chunk_id") + 32) else keys
+        old = cut_lineage(self.rows.join(keys, "chunk_id", "left_semi"), "upsert-replaced")
+        touched = sorted({r[0] for r in old.select("cell").union(fresh.select("cell")).distinct().collect()})
+        kept = self.cells(touched)
+        after = fresh if kept is None else kept.join(keys, "chunk_id", "left_anti").unionByName(fresh)
+        words, buckets, gone, postings = "tokens" in columns, self.settings["buckets"], [], None
+        if words:
+            changed = old.select("tokens").unionByName(fresh.select("tokens")).select(F.explode("tokens").alias("term"))
+            gone = sorted(r[0] for r in changed.select(_bucket("term", buckets)).distinct().collect())
+            held = self._read("postings", "bucket", gone)
+            postings = _postings(fresh, buckets)
+            if held is not None:
+                postings = held.join(keys, "chunk_id", "left_anti").unionByName(postings)
+        self._write(after, touched, gone, buckets, words, postings)
+        self.__dict__.pop("rows", None)
+        totals = checked.agg(F.count_if("valid").alias("success_row_count"),
+                             F.count_if(~F.col("valid")).alias("failed_row_count"))
+        status = F.when(F.col("failed_row_count") > 0, "FAILURE").otherwise("SUCCESS")
+        return (totals.select(status.alias("status"), "success_row_count", "failed_row_count"),
+                checked.filter("not valid").select("chunk_id"))

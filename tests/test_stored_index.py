@@ -1,0 +1,81 @@
+"""The index on disk: creation, upsert of touched parts only, pruned reads."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from strataseek.operators.fulltext import bm25_top_k
+from strataseek.operators.stored_index import create_index, open_index
+from strataseek.operators.vector_search import exact_top_k, ivf_top_k
+from strataseek.plans.retrieval import SearchIndex, search
+
+
+def made(spark, rows):
+    return spark.createDataFrame(rows, "chunk_id string, embedding array<double>, tokens array<string>")
+
+
+@pytest.fixture()
+def stored(spark, tmp_path):
+    random = np.random.default_rng(3)
+    rows = [(f"c{i}", [float(x) for x in random.normal(size=4)], [f"t{i % 7}", f"u{i % 3}", "all"]) for i in range(60)]
+    return create_index(made(spark, rows), str(tmp_path / "index"), np.eye(4), buckets=8), rows
+
+
+def folders(df, part):
+    return {part_of for f in df.inputFiles() for part_of in f.split("/") if part_of.startswith(part)}
+
+
+def test_create_open_and_keep(spark, stored, tmp_path):
+    index, rows = stored
+    assert index.rows.count() == 60 and index.settings["dimension"] == 4
+    again = create_index(made(spark, rows[:1]), index.path, np.eye(4))
+    assert again.rows.count() == 60
+    with pytest.raises(FileNotFoundError):
+        open_index(spark, str(tmp_path / "nothing"))
+    assert {r.field for r in index.describe().collect()} == {"chunk_id", "embedding", "tokens"}
+
+
+def test_reads_are_pruned(spark, stored):
+    index, _ = stored
+    queries = spark.createDataFrame([(1, [1.0, 0.1, 0.0, 0.0])], "query_id long, query_vector array<double>")
+    found = ivf_top_k(index.rows, index.centroids, queries, 1, 5)
+    probed = index.rows.filter("cell = 0")
+    assert folders(probed, "cell=") == {"cell=0"} or "PartitionFilters" in found._jdf.queryExecution().toString()
+    assert {r[0] for r in found.select("chunk_id").collect()} <= {r[0] for r in index.cells([0]).select("chunk_id").collect()}
+    one = index.postings(["t3"])
+    assert len(folders(one, "bucket=")) == 1 and {r[0] for r in one.select("term").distinct().collect()} == {"t3"}
+    assert index.postings(["unknown"]) is None or index.postings(["unknown"]).count() == 0
+
+
+def test_search_equals_the_scan(spark, stored):
+    index, _ = stored
+    queries = spark.createDataFrame([(1, "t1 all", [1.0, 0.0, 0.5, 0.0]), (2, "none", [0.0, 1.0, 0.0, 0.0])],
+                                    "query_id long, query string, query_vector array<double>")
+    def rows(df):
+        return sorted((r.query_id, r["rank"], r.chunk_id) for r in df.collect())
+
+    whole = SearchIndex.of(index)
+    assert rows(search(whole, queries, "ANN", 7, columns=())) == rows(exact_top_k(index.rows, queries, 7))
+    assert rows(search(whole, queries, "FULL_TEXT", 7, columns=())) == rows(bm25_top_k(index.rows, queries, 7))
+    plain = SearchIndex(index.rows)
+    assert rows(search(whole, queries, "HYBRID", 9, columns=())) == rows(search(plain, queries, "HYBRID", 9, columns=()))
+
+
+def test_upsert_rewrites_touched_parts_only(spark, stored):
+    index, rows = stored
+    before = index._places("rows")
+    batch = made(spark, [("c1", [0.0, 9.0, 0.0, 0.0], ["new"]), ("x1", [0.0, 8.0, 0.0, 0.0], ["new", "all"]),
+                         (None, [0.0, 1.0, 0.0, 0.0], []), ("bad", [1.0], [])])
+    report, failed = index.upsert(batch, stamp=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    assert tuple(report.first()) == ("FAILURE", 2, 2)
+    assert {r[0] for r in failed.collect()} == {None, "bad"}
+    again = open_index(spark, index.path)
+    old = dict((r.chunk_id, r.cell) for r in index.rows.collect())
+    after = again._places("rows")
+    changed = {c for c in before if after[c] != before[c]}
+    assert changed <= {1, old["c1"]} | {c for c in before if before[c] == 0 and c in changed} and len(changed) <= 2
+    assert again.rows.count() == 61
+    assert {r.chunk_id: r.updated_at for r in again.rows.filter("updated_at is not null").collect()} == {
+        "c1": "2024-01-01T00:00:00", "x1": "2024-01-01T00:00:00"}
+    assert {r.chunk_id for r in again.postings(["new"]).collect()} == {"c1", "x1"}
+    assert again.postings(["all"]).count() == 60

@@ -732,6 +732,10 @@ def all_oracles() -> dict[str, str]:
         "index_upsert": sql(f"""
             SELECT chunk_id, file_name, {vec('embedding')} AS embedding FROM upserted""",
             "upserted"),
+        "index_upsert_stamps": sql("""
+            SELECT chunk_id, CASE WHEN chunk_id IN (SELECT chunk_id FROM batch WHERE len(embedding) = 64)
+                                  THEN '2024-01-01T00:00:00' END AS updated_at
+            FROM upserted""", "upserted", "batch"),
         "index_upsert_report": sql("""
             SELECT CASE WHEN bad > 0 THEN 'FAILURE' ELSE 'SUCCESS' END AS status,
                    good AS success_row_count, bad AS failed_row_count
@@ -755,6 +759,9 @@ def all_oracles() -> dict[str, str]:
         "fulltext_bm25": sql("""
             SELECT query_id, chunk_id, ROUND(score, 6) AS score, rank FROM ft_list
             WHERE rank <= 10""", "ft_list"),
+        "fulltext_postings": sql("""
+            SELECT query_id, chunk_id, ROUND(score, 6) AS score, rank FROM ft_list
+            WHERE rank <= 10""", "ft_list"),
         "fulltext_normalized": sql("""
             SELECT query_id, chunk_id, ROUND(score, 6) AS score, rank,
                    ROUND(normalized_score, 6) AS normalized_score FROM ft_norm""", "ft_norm"),

@@ -19,6 +19,7 @@ from strataseek.operators.fulltext import bm25_top_k, document_frequency, normal
 from strataseek.operators.spatial_join import (points_per_polygon, polygon_intersects_join,
                                                polygon_left_join, with_polygon_id,
                                                within_distance_join)
+from strataseek.operators.stored_index import create_index, open_index
 from strataseek.operators.vector_search import (assign_cells, exact_top_k, ivf_top_k, lsh_top_k,
                                                 recall_at_k, with_buckets)
 from strataseek.plans import dashboards, documents, medallion, searchbench
@@ -108,6 +109,22 @@ def search_index(spark, sf_dir) -> SearchIndex:
     return SearchIndex(rows, lexicon)
 
 
+def stored_search_index(spark, sf_dir):
+    """The search index as files; cells around sixteen axes of the vector space."""
+    path = landing.landed(spark, sf_dir, "stored-index", lambda path: create_index(
+        search_index(spark, sf_dir).rows, path, np.eye(64)[:16]))
+    return open_index(spark, path)
+
+
+def upserted_index(spark, sf_dir):
+    """An index of the vectors after the upsert batch, and what the upsert reported."""
+    stored = create_index(fx.vector_rows(spark, sf_dir).select("chunk_id", "file_name", "embedding"),
+                          work_path(spark, "vector-index"), np.eye(64)[:16])
+    report, failed = stored.upsert(fx.upsert_batch(spark, sf_dir), position="position",
+                                   stamp=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return stored, report, failed
+
+
 def search_queries(spark, sf_dir):
     return embed_queries(fx.query_set(spark, sf_dir))
 
@@ -316,7 +333,7 @@ def sql_functions(spark, sf_dir):
 
 @query
 def index_failed_keys(spark, sf_dir):
-    return index_table.failed_keys(fx.upsert_batch(spark, sf_dir), 64)
+    return upserted_index(spark, sf_dir)[2]
 
 
 @query
@@ -660,7 +677,7 @@ def silver_embeddings(spark, sf_dir):
 
 @query
 def index_build(spark, sf_dir):
-    rows = search_index(spark, sf_dir).rows
+    rows = stored_search_index(spark, sf_dir).rows
     return flat(rows.select("chunk_id", "file_name", "chunk_position", "chunk_length",
                             F.size("tokens").alias("token_count")))
 
@@ -673,14 +690,19 @@ def index_describe(spark, sf_dir):
 
 @query
 def index_upsert(spark, sf_dir):
-    existing = fx.vector_rows(spark, sf_dir).select("chunk_id", "file_name", "embedding")
-    return flat(index_table.upsert(existing, fx.upsert_batch(spark, sf_dir), 64,
-                                   position="position"))
+    stored, _, _ = upserted_index(spark, sf_dir)
+    return flat(open_index(spark, stored.path).rows.select("chunk_id", "file_name", "embedding"))
+
+
+@query
+def index_upsert_stamps(spark, sf_dir):
+    """ISO time of the upsert on the rows that it wrote; the others have none."""
+    return upserted_index(spark, sf_dir)[0].rows.select("chunk_id", "updated_at")
 
 
 @query
 def index_upsert_report(spark, sf_dir):
-    return index_table.upsert_report(fx.upsert_batch(spark, sf_dir), 64)
+    return upserted_index(spark, sf_dir)[1]
 
 
 @query
@@ -754,7 +776,8 @@ def query_set(spark, sf_dir):
 
 @query
 def search_ann(spark, sf_dir):
-    found = search(search_index(spark, sf_dir), search_queries(spark, sf_dir), "ANN", SEARCH_K)
+    index = SearchIndex.of(stored_search_index(spark, sf_dir))
+    found = search(index, search_queries(spark, sf_dir), "ANN", SEARCH_K)
     return flat(found, 6)
 
 
@@ -765,6 +788,13 @@ def fulltext_bm25(spark, sf_dir):
                            lexicon=index.lexicon), 6)
 
 
+@query
+def fulltext_postings(spark, sf_dir):
+    index = SearchIndex.of(stored_search_index(spark, sf_dir))
+    found = search(index, search_queries(spark, sf_dir), "FULL_TEXT", SEARCH_K, columns=())
+    return flat(found.select("query_id", "chunk_id", "score", "rank"), 6)
+
+
 @query
 def fulltext_normalized(spark, sf_dir):
     index = search_index(spark, sf_dir)
