@@ -9,6 +9,8 @@ from strataseek.session import BROADCAST_LIMIT_BYTES, measured_bytes
 
 _SALT = "__salt"
 _SALTS = "__salts"
+# Copies of the static side in a stream join whose static side is too large to broadcast.
+STREAM_SALTS = 8
 
 
 def balanced_join(large: DataFrame, small: DataFrame, on: list[str], row_key: list[str],
@@ -22,7 +24,7 @@ def balanced_join(large: DataFrame, small: DataFrame, on: list[str], row_key: li
     every hot key (more than 1/``tasks`` of the rows of ``large``) is split: its
     rows get a salt from ``row_key`` and the matching rows of ``small`` are
     repeated once per salt. There can be at most ``tasks`` hot keys, so the table
-    of hot keys that is broadcast has a fixed bound.
+    of hot keys that is broadcast has a fixed bound. A stream is split by ``STREAM_SALTS`` throughout.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -31,8 +33,10 @@ def balanced_join(large: DataFrame, small: DataFrame, on: list[str], row_key: li
     if small_bytes <= broadcast_limit:
         return large.join(F.broadcast(small), on, how)
 
-    if large.isStreaming:  # a micro-batch cannot be counted ahead of its run
-        return large.join(small, on, how)
+    if large.isStreaming:  # a micro-batch cannot be counted ahead of its run: every key is split
+        salted = large.withColumn(_SALT, F.pmod(F.xxhash64(*row_key), F.lit(STREAM_SALTS)).cast("int"))
+        copies = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1))))
+        return salted.join(copies, [*on, _SALT], how).drop(_SALT)
     sizes = large.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
     per_task = sizes.agg(F.ceil(F.sum("__n") / tasks)).first()[0] or 1
     hot = F.broadcast(

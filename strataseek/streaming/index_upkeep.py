@@ -26,16 +26,35 @@ def upsert_stream(bronze: DataFrame, log_path: str, checkpoint: str, dim: int =
     query.awaitTermination()
 
 
-def current_index(spark: SparkSession, log_path: str, key: str = "chunk_id") -> DataFrame:
-    """The index as the log defines it: the newest epoch wins, then the first position."""
-    log = spark.read.option("basePath", log_path).parquet(log_path)
-    rest = [c for c in log.columns if c not in (key, "epoch")]
+def _newest(rows: DataFrame, key: str) -> DataFrame:
+    rest = [c for c in rows.columns if c not in (key, "epoch")]
     order = F.struct(F.col("epoch"), -F.col("chunk_position"))
-    return (log.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("__row"))
+    return (rows.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("__row"))
             .select(key, *[F.col(f"__row.{c}").alias(c) for c in rest]))
 
 
-def compact_index(spark: SparkSession, log_path: str, out_path: str) -> DataFrame:
-    """Write the current index as one snapshot and read it back."""
-    current_index(spark, log_path).write.mode("overwrite").parquet(out_path)
-    return spark.read.parquet(out_path)
+def current_index(spark: SparkSession, log_path: str, key: str = "chunk_id",
+                  snapshot_path: str | None = None) -> DataFrame:
+    """The index as the log defines it: the newest epoch wins, then the first position.
+
+    With the path of a snapshot (:func:`compact_index`) only newer epochs of the log are grouped, and
+    the snapshot's rows whose key they lack are added as they are.
+    """
+    log = spark.read.option("basePath", log_path).parquet(log_path)
+    if snapshot_path is None:
+        return _newest(log, key)
+    snapshot = spark.read.option("basePath", snapshot_path).parquet(snapshot_path)
+    through = snapshot.agg(F.max("through")).first()[0]
+    held = snapshot.filter(F.col("through") == through).drop("through")
+    newer = _newest(log.filter(F.col("epoch") > through), key)
+    return held.join(newer.select(key), key, "left_anti").unionByName(newer.select(*held.columns))
+
+
+def compact_index(spark: SparkSession, log_path: str, out_path: str,
+                  key: str = "chunk_id") -> DataFrame:
+    """Write the current index as one snapshot, named by the last epoch in it, and read it back."""
+    log = spark.read.option("basePath", log_path).parquet(log_path)
+    through = log.agg(F.max("epoch")).first()[0]
+    target = f"{out_path}/through={through}"
+    _newest(log.filter(F.col("epoch") <= through), key).write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,23 +11,9 @@ from strataseek.plans.medallion import valid_events
 WATERMARK = "1 hour"
 
 
-def first_in_batch(events: DataFrame, key: str = "event_id") -> DataFrame:
-    """Drop repeats of a key inside each Arrow batch, before any shuffle.
-
-    The streaming dedupe sends all rows of a key to one task; this leaves a hot key at
-    most one row per batch of input rows.
-    """
-    def run(batches):
-        for batch in batches:
-            repeated = batch.column(batch.schema.get_field_index(key)).to_pandas().duplicated()
-            yield batch.filter(pa.array(~repeated.to_numpy()))
-
-    return events.mapInArrow(run, events.schema)
-
-
 def clean_event_stream(raw: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """Valid events, one per id: the first arrival within the watermark is kept."""
-    stamped = first_in_batch(valid_events(raw)).withColumn(
+    stamped = valid_events(raw).withColumn(
         "event_timestamp", F.timestamp_millis("event_time"))
     return (stamped.withWatermark("event_timestamp", watermark)
             .dropDuplicatesWithinWatermark(["event_id"]))
