@@ -42,8 +42,9 @@ LENGTH = 50
 GRAM = 20
 #: Anchors that more batches than this send are split by window.
 HOT_BATCHES = 2000
-BATCH_BYTES = 4 << 20
-WINDOWS_AT_ONCE = 1 << 18
+BATCH_BYTES = 2 << 20
+WINDOWS_AT_ONCE = 1 << 16
+SEGMENT = 1 << 18
 
 _VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 RUN = "bucket int, key long, doc_id long, row int, starts array<long>, size int, bytes binary"
@@ -72,7 +73,20 @@ def rolling_hashes(data: np.ndarray, length: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: row, first window, number of windows, hash of the anchor."""
+    """Runs of windows with one anchor: row, first window, number of windows, hash of the anchor.
+
+    The bytes are taken in segments of fixed size, whatever the length of a text; a run that a
+    segment's end cuts comes as two.
+    """
+    parts = []
+    for low in range(0, max(1, len(data)), SEGMENT):
+        part = data[low:low + SEGMENT + LENGTH - 1]
+        rows, starts, sizes, hashes = _segment_anchors(part, np.clip(offsets - low, 0, len(part)))
+        parts.append((rows, starts + low, sizes, hashes))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _segment_anchors(data: np.ndarray, offsets: np.ndarray):
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
         return none, none, none, np.zeros(0, np.uint64)
@@ -99,8 +113,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     new = np.r_[True, (place[1:] != place[:-1]) | (valid[1:] != valid[:-1] + 1)]
     first = np.flatnonzero(new)
     starts = valid[first]
-    return (np.searchsorted(offsets, starts, side="right") - 1, starts,
-            np.diff(np.r_[first, len(valid)]), least[first])
+    return (np.searchsorted(offsets[1:], starts, side="right"), starts,
+            np.diff(np.r_[first, len(valid)]), mix(least[first]))  # minima are small: spread them again
 
 
 def earlier(windows: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -160,7 +174,8 @@ def _find_spans(table: pa.Table) -> pa.Table:
         n = size[some]
         spot = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         at = np.repeat(offsets[some], n) + spot
-        hit = earlier(data[at[:, None] + np.arange(LENGTH)], np.repeat(docs[some], n))
+        windows = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[at]
+        hit = earlier(windows, np.repeat(docs[some], n))
         if not hit.any():
             continue
         run = np.repeat(np.arange(len(some)), n)

@@ -129,13 +129,28 @@ def repeats():
 @pytest.mark.parametrize("many", [False, True])
 def test_repeated_spans(spark, odd, many, hot, monkeypatch):
     monkeypatch.setattr(repeated_spans, "HOT_BATCHES", hot)
-    monkeypatch.setattr(repeated_spans, "WINDOWS_AT_ONCE", 64)
     rows = repeats() if many else odd[0]
     documents = frame(spark, rows).repartition(3) if many else odd[1]
     found = sorted(tuple(r) for r in repeated_spans.span_report(documents).collect())
     assert found == sorted(spans_expected(rows))
 
 
+def test_anchors_do_not_depend_on_segments(monkeypatch):
+    texts = [sentence(5, 200).encode(), b"", b"x" * 300, sentence(6, 3).encode(), sentence(5, 200).encode()]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+
+    def windows():
+        rows, starts, sizes, hashes = repeated_spans.anchors(data, offsets)
+        return sorted((int(r), int(s) + k, int(h)) for r, s, n, h in zip(rows, starts, sizes, hashes) for k in range(n))
+
+    whole = windows()
+    assert [(r, s) for r, s, _ in whole] == [(r, offsets[r] + k) for r, t in enumerate(texts)
+                                             for k in range(len(t) - LENGTH + 1)]
+    for segment in (64, 100, 1000):
+        monkeypatch.setattr(repeated_spans, "SEGMENT", segment)
+        assert windows() == whole
+
+
 def test_rolling_hashes_agree_on_equal_strings():
     data = np.frombuffer(sentence(5, 200).encode() * 2, np.uint8)
     for length in (1, 20, 50):
