@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from strataseek.functions.text import label
 from strataseek.operators.quantiles import exact_quantiles
+from strataseek.operators.topk import MAX_QUERY_ROWS
 from strataseek.plans.retrieval import METHODS, SearchIndex, as_results, search
+from strataseek.session import held_locally
 
 _QUERY_TYPES = {"ANN": "ANN", "Full-Text": "FULL_TEXT", "Hybrid": "HYBRID"}
 RUN_SCHEMA = ("query_id bigint, category string, method string, iteration int, "
@@ -18,34 +20,35 @@ RUN_SCHEMA = ("query_id bigint, category string, method string, iteration int, "
 
 def run_benchmark(index: SearchIndex, queries: DataFrame, out_path: str, num_results: int = 10,
                   iterations: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Time every method over the whole query batch ``iterations`` times.
+    """Time every query alone with every method ``iterations`` times.
 
-    A batch is one Spark job, so each of its queries gets an equal share of the wall
-    time. Returns ``(runs, results)``; the results of the last iteration are kept
-    in ``out_path``.
+    Returns ``(runs, results)``: a row per query, method and iteration, and the results of the whole
+    set, which are searched once per method as a batch and kept in ``out_path``. The query set is a
+    short list that someone has chosen; more than ``MAX_QUERY_ROWS`` are refused.
     """
     spark = queries.sparkSession
+    asked = held_locally(queries, MAX_QUERY_ROWS)
+    if asked is None:
+        raise ValueError(f"a benchmark takes at most {MAX_QUERY_ROWS} queries")
+    rows = asked.toArrow()
     timings = []
     for method in METHODS:
+        score = "normalized_score" if method == "Full-Text" else "score"
         for iteration in range(iterations):
-            started = time.perf_counter()
-            found = search(index, queries, _QUERY_TYPES[method], num_results)
-            score = "normalized_score" if method == "Full-Text" else "score"
-            as_results(found, method, score).write.mode("overwrite").parquet(
-                f"{out_path}/method={method}")
-            timings.append((method, iteration, (time.perf_counter() - started) * 1000))
+            for i in range(rows.num_rows):
+                one = rows.slice(i, 1)
+                started = time.perf_counter()
+                found = search(index, spark.createDataFrame(one, queries.schema), _QUERY_TYPES[method], num_results)
+                n = len(as_results(found, method, score).collect())
+                latency = (time.perf_counter() - started) * 1000
+                timings.append((one.column("query_id")[0].as_py(), method, iteration, n > 0, latency, n))
+        whole = search(index, asked, _QUERY_TYPES[method], num_results)
+        as_results(whole, method, score).write.mode("overwrite").parquet(f"{out_path}/method={method}")
     results = spark.read.option("basePath", out_path).parquet(out_path)
-    batches = spark.createDataFrame(timings, "method string, iteration int, batch_ms double")
-    n_queries = queries.count()
-    counts = results.groupBy("query_id", "method").agg(F.count(F.lit(1)).alias("n"))
-    runs = (queries.select("query_id", "category")
-            .withColumn("method", F.explode(F.array(*[F.lit(m) for m in METHODS])))
-            .join(F.broadcast(batches), "method")
-            .join(counts, ["query_id", "method"], "left")
-            .select("query_id", "category", "method", "iteration",
-                    F.col("n").isNotNull().alias("success"),
-                    (F.col("batch_ms") / n_queries).alias("latency_ms"),
-                    F.coalesce("n", F.lit(0)).cast("int").alias("num_results")))
+    timed = spark.createDataFrame(timings, "query_id bigint, method string, iteration int, "
+                                           "success boolean, latency_ms double, num_results int")
+    runs = timed.join(F.broadcast(asked.select("query_id", "category")), "query_id").select(
+        "query_id", "category", "method", "iteration", "success", "latency_ms", "num_results")
     return runs, results
 
 

@@ -200,8 +200,8 @@ def test_search_contract(library):
 def test_benchmark_runner(spark, library, tmp_path):
     table, queries, _ = library
     runs, results = searchbench.run_benchmark(
-        SearchIndex(table), embed_queries(queries), str(tmp_path / "out"), 5, iterations=2)
-    assert runs.count() == 4 * 3 * 2
+        SearchIndex(table), embed_queries(queries), str(tmp_path / "out"), 5, iterations=1)
+    assert runs.count() == 4 * 3
     assert runs.filter("not success").select("query_id", "method").distinct().collect() == [
         (3, "Full-Text")]
     averages = searchbench.latency_per_query(runs)
