@@ -54,6 +54,14 @@ def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """Half away from zero on the double itself, as SQL engines round a double; the built-in
+    function rounds its shortest decimal text."""
+    scaled = F.abs(x) * F.lit(10.0 ** digits)
+    whole = F.signum(x) * F.floor(scaled + 0.5).cast("double") / F.lit(10.0 ** digits)
+    return F.when(scaled < 9e15, whole).otherwise(x)
+
+
 def flat(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Plain output types: bigint, double (rounded to ``digits``), text for dates and
     vectors."""
@@ -63,7 +71,7 @@ def flat(df: DataFrame, digits: int | None = None) -> DataFrame:
         if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)) and digits is not None:
-            c = F.round(c.cast("double"), digits) + F.lit(0.0)
+            c = rounded(c.cast("double"), digits) + F.lit(0.0)
         elif isinstance(f.dataType, T.TimestampType):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSS")
         elif isinstance(f.dataType, T.DateType):
