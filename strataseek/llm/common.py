@@ -8,6 +8,7 @@ fixed size bound the memory whatever the length of a text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -158,6 +159,14 @@ def shingle_sets(words: np.ndarray, rows: np.ndarray, n_rows: int, n: int = 5) -
     return all_rows, hashes
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a Python worker lives on for the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` holds about ``limit`` bytes; a longer row stands alone."""
     for batch in batches:
@@ -168,6 +177,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
+    release_memory()
 
 
 def in_slices(function, column: str = "text", limit: int = SLICE_BYTES):
@@ -210,5 +220,5 @@ def runs_by(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 __all__ = ["BLANK", "bucket_count", "buffers", "cut_lineage", "gram_hashes", "in_slices", "mix", "read",
-           "runs_by", "shingle_sets", "slices", "span_hashes", "splits", "with_bytes", "word_hashes",
+           "release_memory", "runs_by", "shingle_sets", "slices", "span_hashes", "splits", "with_bytes", "word_hashes",
            "word_spans"]

@@ -49,7 +49,7 @@ from strataseek.session import fits_broadcast
 
 SHINGLE = 5
 PERCENT = 75
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 GROUP_DOCS = 512
 GROUP_TOKENS = 1 << 20
 PORTION = 2048
