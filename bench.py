@@ -35,7 +35,7 @@ HEADLINES = ["silver_events", "gold_by_state", "gold_by_county", "spatial_within
              "fulltext_bm25", "fulltext_postings", "hybrid_rrf", "bench_report", "vector_topk_ivf",
              "vector_topk_lsh", "bench_box_stats", "geo_wkb_roundtrip",
              "spatial_left_join_state"]
-SINGLE_QUERIES = 5
+SINGLE_QUERIES = 2
 
 
 def run(df) -> None:
