@@ -16,6 +16,15 @@ Null texts, and rows without doc_id, pass unchanged; an empty text is one empty
 with one doc_id are told apart by their text; equal rows count as one document, so both keep what
 one keeps. All columns of the input, whatever their names, come back with ``text`` replaced, and
 ``lines_removed`` is added. A text of which nothing is left is empty, and its row stays.
+
+Boundaries are sparse, so those chunks find only part of the repeated passages. ``dedup_runs`` finds all:
+every window of ``LEAST_LINES`` consecutive lines is a chunk, windows are grouped by hash, and a line goes if
+any window over it stands earlier (doc_id, then place). The bytes are compared by counting the distinct
+texts of each repeated hash, so a text travels once per task; a hash with several is grouped again by text. Windows
+overlap, so a run that stands earlier goes whole wherever it starts and ends, and no line
+beside it goes. Each removed line has an equal line that is kept: the first window of its kind
+starts earlier, and so on down to a line that no later copy covers. Blank lines count as lines.
+Equal rows, nulls and columns are treated as above.
 """
 
 from __future__ import annotations
@@ -114,6 +123,75 @@ def line_report(documents: DataFrame) -> DataFrame:
         F.md5(F.col("text").cast("binary")).alias("kept_md5"))
 
 
+def _window_key(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def _window(k: Column) -> Column:
+    return F.array_join(F.slice("__lines", k + 1, LEAST_LINES), "\n")
+
+
+def _at_places(rows: DataFrame, places: DataFrame, place_bytes: Column, how: str) -> DataFrame:
+    """Join ``rows`` (doc_id, text) with ``places`` (__doc, __row, more), which are broadcast when they fit."""
+    if fits_broadcast(places, place_bytes):
+        places = F.broadcast(places)
+    return rows.join(places, (F.col("doc_id") == F.col("__doc")) & (F.xxhash64("text") == F.col("__row")), how)
+
+
+def repeated_runs(documents: DataFrame) -> DataFrame:
+    """__doc, __row, __gone (places of the removed lines, ascending) of every document that loses some."""
+    lines = _hold(_usable(documents), "__lines", F.split(F.col("text"), "\n", -1)).filter(F.size("__lines") >= LEAST_LINES)
+    starts = F.sequence(F.lit(0), F.size("__lines") - LEAST_LINES)
+    windows = lines.select("__doc", "__row", F.posexplode(
+        F.transform(starts, lambda k: _window_key(_window(k)))).alias("__k", "__key"))
+    place = F.struct("__doc", "__k", "__row")
+    places = windows.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"), F.min(place).alias("__first"))
+    repeated = cut_lineage(places.filter("__n > 1").select("__key", "__first"), "repeated-windows")
+    hits = balanced_join(windows, repeated, ["__key"], ["__doc", "__row", "__k"], F.lit(64))
+    hits = cut_lineage(hits.groupBy("__doc", "__row").agg(F.collect_set(
+        F.struct("__k", "__key", (place != F.col("__first")).alias("later"))).alias("__hits")), "window-occurrences")
+
+    # The bytes: a hash with one text is that text wherever it stands; other hashes are told apart by text.
+    usable = documents.filter("doc_id is not null and text is not null").select("doc_id", "text")
+    texts = _hold(_at_places(usable, hits, F.size("__hits") * 24 + 64, "inner"), "__lines", F.split(F.col("text"), "\n", -1))
+    texts = texts.select("__doc", "__row", "__lines", F.explode("__hits").alias("__h")).select(
+        "__doc", "__row", F.col("__h.__k"), F.col("__h.__key"), _window(F.col("__h.__k")).alias("__t"))
+    mixed = cut_lineage(texts.groupBy("__key", "__t").agg(F.lit(1).alias("__one")).groupBy("__key")
+                        .agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__key"), "mixed-windows")
+    later = hits.select("__doc", "__row", F.explode("__hits").alias("__h")).filter("__h.later").select(
+        "__doc", "__row", F.col("__h.__k"), F.col("__h.__key"))
+    if not mixed.isEmpty():
+        told = texts.join(mixed, "__key")
+        firsts = told.groupBy("__key", "__t").agg(F.min(place).alias("__first"))
+        told = told.join(firsts, ["__key", "__t"]).filter(place != F.col("__first"))
+        later = later.join(mixed, "__key", "left_anti").select("__doc", "__row", "__k").union(
+            told.select("__doc", "__row", "__k"))
+    covered = F.flatten(F.transform(F.collect_set("__k"), lambda k: F.sequence(k, k + LEAST_LINES - 1)))
+    return cut_lineage(later.groupBy("__doc", "__row").agg(F.array_sort(F.array_distinct(covered)).alias("__gone")),
+                       "removed-lines")
+
+
+def dedup_runs(documents: DataFrame) -> DataFrame:
+    """The documents without any run of ``LEAST_LINES`` or more lines that stands earlier."""
+    columns = documents.columns
+    rows = _at_places(documents, repeated_runs(documents), F.size("__gone") * 4 + 64, "left")
+    rows = _hold(rows.withColumn("text", F.col("text")), "__lines", F.split(F.col("text"), "\n", -1))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(kept, lambda k: F.get(F.col("__lines"), k)), "\n"))
+    removed = F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone"))
+    return rows.select(*[text.alias("text") if c == "text" else F.col(c) for c in columns],
+                       removed.cast("long").alias("lines_removed"))
+
+
+def runs_report(documents: DataFrame) -> DataFrame:
+    """doc_id, n_lines, n_removed, kept_md5 of every document after ``dedup_runs``."""
+    lines = documents.withColumn("__n", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long"))
+    return dedup_runs(lines.select("doc_id", "text", "__n")).select(
+        "doc_id", F.greatest(F.col("__n"), F.lit(0)).alias("n_lines"), F.col("lines_removed").alias("n_removed"),
+        F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
 ORACLE = f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
@@ -132,3 +210,21 @@ SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (WHERE gone), 0
        md5(coalesce(string_agg(t, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '')) AS kept_md5
 FROM ranked GROUP BY doc_id
 """
+
+#: DuckDB SQL of ``runs_report``, for unique doc_ids and windows of two lines.
+RUNS_ORACLE = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+followed AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM lines),
+windows AS (
+  SELECT doc_id, i, after IS NOT NULL
+         AND row_number() OVER (PARTITION BY line, after ORDER BY doc_id, i) > 1 AS again FROM followed),
+ranked AS (
+  SELECT lines.*, again OR coalesce(lag(again) OVER (PARTITION BY doc_id ORDER BY i), false) AS gone
+  FROM lines JOIN windows USING (doc_id, i))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_removed,
+       md5(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_md5
+FROM ranked GROUP BY doc_id
+"""

@@ -67,10 +67,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read(spark, sf_dir, "documents"))
 
 
+def op10_repeated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.runs_report(read(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 
 
 def llm_oracles() -> dict[str, str]:
     return {"op1_lm_scoring": lm_scoring.ORACLE, "op4_decontamination": decontamination.ORACLE,
-            "op10_line_dedup": line_dedup.ORACLE}
+            "op10_line_dedup": line_dedup.ORACLE, "op10_repeated_runs": line_dedup.RUNS_ORACLE}
