@@ -11,11 +11,11 @@ count in the batch, to count tables partitioned by hash; a table adds the counts
 batch with the totals of what it sent; the answers meet the batch's texts, whose n-grams are then
 scored in place. So an n-gram travels once per batch, however often it occurs, and no table
 holds more than its share of the distinct n-grams. Within a row the sorted 64-bit hashes are stored
-as differences.
+as differences; counts and the texts of a batch travel compressed.
 
 Words are maximal runs of bytes other than space and 0x09-0x0D, A-Z as a-z. Texts without words
 (null or empty) have score 0. Rows without doc_id are scored and counted like any other; equal rows
-are different documents. The query uses pairs (``ORDER`` 2).
+are different documents. ``op1_lm_scoring`` uses pairs (``ORDER`` 2), ``op1_lm_scoring_trigrams`` ``TRIGRAMS``.
 """
 
 from __future__ import annotations
@@ -29,36 +29,59 @@ from pyspark.sql import functions as F
 from strataseek.llm.common import bucket_count, buffers, cut_lineage, gram_hashes, slices, with_bytes, word_hashes
 
 ORDER = 2
+TRIGRAMS = 3
 BACKOFF = 0.4
 BATCH_BYTES = 6 << 20
 
 
 def pack(keys: np.ndarray) -> bytes:
-    """Ascending unsigned integers as the first one and the differences, in as few bytes as they need."""
+    """Ascending unsigned integers as the first one and the differences, in as few bytes as they need.
+
+    The bytes of a difference stand apart; the highest ones differ little and are compressed.
+    """
     steps = np.diff(keys)
     width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
-    body = np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
-    return bytes([width]) + int(keys[0]).to_bytes(8, "little") + body
+    planes = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    head = bytes([width]) + int(keys[0]).to_bytes(8, "little") + len(steps).to_bytes(8, "little")
+    return head + planes[:-1].tobytes() + (_compressed(planes[-1].tobytes()) if len(steps) else b"")
 
 
 def unpack(raw: bytes) -> np.ndarray:
-    width = raw[0]
-    body = np.frombuffer(raw, np.uint8, offset=9).reshape(-1, width)
-    keys = np.zeros((len(body) + 1, 8), np.uint8)
-    keys[1:, :width] = body
+    width, n = raw[0], int.from_bytes(raw[9:17], "little")
+    keys = np.zeros((n + 1, 8), np.uint8)
+    if n:
+        low = n * (width - 1)
+        keys[1:, :width - 1] = np.frombuffer(raw, np.uint8, low, 17).reshape(width - 1, n).T
+        keys[1:, width - 1] = np.frombuffer(pa.decompress(raw[17 + low:], n, "zstd", asbytes=True), np.uint8)
     keys = keys.view("<u8").ravel()
     keys[0] = int.from_bytes(raw[1:9], "little")
     return np.cumsum(keys, dtype=np.uint64)
 
 
+def _compressed(raw: bytes) -> bytes:
+    return pa.compress(raw, "zstd", asbytes=True)
+
+
 def _small(counts: np.ndarray) -> bytes:
-    """Counts in the narrowest of one, two, four or eight bytes."""
+    """Counts in the narrowest of one, two, four or eight bytes; equal bytes of all stand together, compressed."""
     width = next(w for w in (1, 2, 4, 8) if not len(counts) or int(counts.max()) < 1 << (8 * w))
-    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+    planes = counts.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + len(counts).to_bytes(8, "little") + _compressed(planes.tobytes())
 
 
 def _counts(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+    width, n = raw[0], int.from_bytes(raw[1:9], "little")
+    planes = np.frombuffer(pa.decompress(raw[9:], n * width, "zstd", asbytes=True), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64)
+
+
+def _frozen(batch: pa.RecordBatch) -> bytes:
+    """A batch as a compressed Arrow stream."""
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
 def _grams(batch: pa.RecordBatch, order: int):
@@ -109,11 +132,11 @@ def score_documents(documents: DataFrame, order: int = ORDER) -> DataFrame:
             [_small(answer[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())})
 
     def bring(batch: pa.RecordBatch, number: int) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, number)), *batch.columns],
-                                          names=["batch", "doc_id", "text"])
+        return pa.RecordBatch.from_pydict({"batch": pa.array([number], pa.int64()),
+                                           "docs": pa.array([_frozen(batch)], pa.binary())})
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = left.combine_chunks()
+        left = pa.ipc.open_stream(left.column("docs")[0].as_py()).read_all()
         n_rows = len(left)
         rows, grams = _grams(pa.RecordBatch.from_arrays([left.column("text").combine_chunks()], names=["text"]), order)
         keys = np.unique(np.concatenate([g for _, g in grams]))
@@ -150,7 +173,7 @@ def score_documents(documents: DataFrame, order: int = ORDER) -> DataFrame:
 
     sent = _numbered(texts, send, "tab int, batch long, keys binary, counts binary")
     answers = sent.groupBy("tab").applyInArrow(add_up, "batch long, tab int, totals binary")
-    brought = _numbered(texts, bring, "batch long, doc_id long, text binary")
+    brought = _numbered(texts, bring, "batch long, docs binary")
     made = cut_lineage(brought.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
         score, "doc_id long, n_words long, n_full long, n_single long, logs double"), "language-scores")
     total = made.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
@@ -158,8 +181,8 @@ def score_documents(documents: DataFrame, order: int = ORDER) -> DataFrame:
     return made.select("doc_id", "n_words", "n_full", (F.col("logs") - F.col("n_single") * F.log(others)).alias("log_score"))
 
 
-def score_report(documents: DataFrame) -> DataFrame:
-    scores = score_documents(documents)
+def score_report(documents: DataFrame, order: int = ORDER) -> DataFrame:
+    scores = score_documents(documents, order)
     return scores.select("doc_id", "n_words", "n_full", F.round("log_score", 4).alias("log_score"))
 
 
@@ -191,3 +214,37 @@ SELECT texts.doc_id, len(any_value(w))::BIGINT AS n_words, coalesce(count(*) FIL
        round(coalesce(sum(s), 0), 4) AS log_score
 FROM texts LEFT JOIN scored USING (doc_id) GROUP BY texts.doc_id
 """
+
+#: DuckDB SQL of ``score_report`` with ``TRIGRAMS``.
+TRIGRAM_ORACLE = f"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS c, generate_subscripts(w, 1) AS i FROM texts),
+grams AS (SELECT doc_id, i, c, lag(c) OVER d AS b, lag(c, 2) OVER d AS a
+          FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+total AS (SELECT count(*) AS n FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+own1 AS (SELECT doc_id, c, count(*) AS n FROM grams GROUP BY ALL),
+own2 AS (SELECT doc_id, b, c, count(*) AS n FROM grams WHERE b IS NOT NULL GROUP BY ALL),
+own3 AS (SELECT doc_id, a, b, c, count(*) AS n FROM grams WHERE a IS NOT NULL GROUP BY ALL),
+rest1 AS (SELECT doc_id, c, sum(n) OVER (PARTITION BY c) - n AS n FROM own1),
+rest2 AS (SELECT doc_id, b, c, sum(n) OVER (PARTITION BY b, c) - n AS n FROM own2),
+rest3 AS (SELECT doc_id, a, b, c, sum(n) OVER (PARTITION BY a, b, c) - n AS n FROM own3),
+scored AS (
+  SELECT g.doc_id, coalesce(r3.n, 0) > 0 AS is_full,
+         CASE WHEN r3.n > 0 THEN ln(r3.n) - ln(c2.n) ELSE
+           CASE WHEN g.a IS NULL THEN 0 ELSE ln({BACKOFF}) END
+           + CASE WHEN r2.n > 0 THEN ln(r2.n) - ln(c1.n) ELSE
+               CASE WHEN g.b IS NULL THEN 0 ELSE ln({BACKOFF}) END
+               + ln(CASE WHEN r1.n > 0 THEN r1.n ELSE {BACKOFF} END) - ln(greatest(total.n - sizes.n, 1)) END END AS s
+  FROM grams g JOIN sizes USING (doc_id) CROSS JOIN total
+  JOIN rest1 r1 ON r1.doc_id = g.doc_id AND r1.c = g.c
+  LEFT JOIN rest1 c1 ON c1.doc_id = g.doc_id AND c1.c = g.b
+  LEFT JOIN rest2 r2 ON r2.doc_id = g.doc_id AND r2.b = g.b AND r2.c = g.c
+  LEFT JOIN rest2 c2 ON c2.doc_id = g.doc_id AND c2.b = g.a AND c2.c = g.b
+  LEFT JOIN rest3 r3 ON r3.doc_id = g.doc_id AND r3.a = g.a AND r3.b = g.b AND r3.c = g.c)
+SELECT texts.doc_id, len(any_value(w))::BIGINT AS n_words, coalesce(count(*) FILTER (WHERE is_full), 0)::BIGINT AS n_full,
+       round(coalesce(sum(s), 0), 4) AS log_score
+FROM texts LEFT JOIN scored USING (doc_id) GROUP BY texts.doc_id
+"""

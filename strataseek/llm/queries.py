@@ -32,6 +32,10 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_report(read(spark, sf_dir, "documents"))
 
 
+def op1_lm_scoring_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_report(read(spark, sf_dir, "documents"), lm_scoring.TRIGRAMS)
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.token_report(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -76,5 +80,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_lm_scoring": lm_scoring.ORACLE, "op4_decontamination": decontamination.ORACLE,
+    return {"op1_lm_scoring": lm_scoring.ORACLE, "op1_lm_scoring_trigrams": lm_scoring.TRIGRAM_ORACLE,
+            "op4_decontamination": decontamination.ORACLE,
             "op10_line_dedup": line_dedup.ORACLE, "op10_repeated_runs": line_dedup.RUNS_ORACLE}
