@@ -1,4 +1,4 @@
-"""Removal of byte spans that occur in an earlier document, by longest previous factors (operator 9).
+"""Removal of byte spans that occur in an earlier document, by sorted windows (operator 9).
 
 A byte goes if it lies in a string of ``LENGTH`` bytes that also starts in a document with a smaller
 doc_id. Strings are judged on the input and matches stay within a document.
@@ -11,11 +11,10 @@ doc_id. Strings are judged on the input and matches stay within a document.
 3. *Contexts.* Windows with one anchor form a run. For each run with a shared anchor its bytes go to
    the bucket of the anchor; runs of one batch with equal bytes go once, with their first document, and
    the others are settled at once. Anchors that very many batches have are split by window.
-4. *Longest previous factors.* A bucket sorts the suffixes of the distinct contexts of an anchor that start
-   a window. In that order, the suffixes that agree in ``LENGTH`` bytes stand together. A suffix has
-   its nearest smaller position before or after it in the same stretch, hence a longest previous
-   factor of ``LENGTH`` or more, if some suffix of the stretch has a smaller doc_id. Bytes are compared,
-   not hashes.
+4. *Sorted windows.* A bucket sorts the windows of ``LENGTH`` bytes of the distinct contexts of an anchor by their
+   bytes. A window is covered if a window of the same bytes has a smaller doc_id. Bytes are compared, not
+   hashes. No suffix order beyond ``LENGTH`` bytes and no factor lengths are computed: a factor of
+   ``LENGTH`` or more is the union of its windows, and each of these is judged here.
 5. Covered ranges are merged per document and cut out.
 
 Anchors in step 2 are compared by 32 bits besides the bucket, in steps 3 and 4 by 64 bits and by their
@@ -120,8 +119,7 @@ def _segment_anchors(data: np.ndarray, offsets: np.ndarray):
 def earlier(windows: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """Whether an equal window (row of bytes) belongs to a smaller document.
 
-    Windows are put into suffix order; in a stretch of equal ones the least document is the
-    previous or next smaller position of all that are larger.
+    Windows are sorted by their bytes; in a stretch of equal ones all but the least document have one.
     """
     padded = np.zeros((len(windows), -(-windows.shape[1] // 8) * 8), np.uint8)
     padded[:, :windows.shape[1]] = windows
