@@ -2,7 +2,7 @@
 
 Texts are cut where no piece of the vocabulary spans the cut: two neighbouring bytes that occur
 side by side in no piece can never be merged, so the parts are encoded apart with the same result.
-Distinct parts of a batch are encoded in one multithreaded call, and each is compared with the
+Distinct parts of a batch are encoded in one call (one thread unless ``threads`` is given), and each is compared with the
 ids of the sentencepiece library (``parity``). Models that do not fit this rule (unigram scores,
 a character map, or trimmed spaces) are encoded text by text.
 
