@@ -9,8 +9,6 @@ os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
 
 from strataseek.session import build_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -18,7 +16,3 @@ def spark():
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
-from conftest import SMALL
+from helpers import SMALL
 from workload.check import compare, connect
 from workload.oracle import all_oracles
 from workload.queries import all_queries

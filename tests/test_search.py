@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from helpers import plan_of
 from strataseek.functions import vectors
 from strataseek.operators import index_table
 from strataseek.operators.embed import embed_hashing, embed_with_model, extract_with

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from helpers import plan_of
 from strataseek.functions import geo
 from strataseek.operators.skew import balanced_join
 from strataseek.operators.spatial_join import (point_in_polygon_join, points_per_polygon,

@@ -8,7 +8,7 @@ from strataseek.functions import geo
 from strataseek.functions.sql import register_sql_functions
 from strataseek.operators.quantiles import exact_quantiles
 from workload import fixtures as fx
-from conftest import SMALL
+from helpers import SMALL
 
 
 @pytest.fixture(scope="module")
