@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strataseek.llm import decontamination, hilbert_search, jaccard_join, line_dedup, lm_scoring, \
-    repeated_spans, sentencepiece, token_counts, token_files, toxicity
+    merkle_manifest, repeated_spans, sentencepiece, token_counts, token_files, toxicity
 from strataseek.llm.common import read
 
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "")
@@ -75,6 +75,10 @@ def op10_repeated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.runs_report(read(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest_report(read(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 
@@ -82,4 +86,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def llm_oracles() -> dict[str, str]:
     return {"op1_lm_scoring": lm_scoring.ORACLE, "op1_lm_scoring_trigrams": lm_scoring.TRIGRAM_ORACLE,
             "op4_decontamination": decontamination.ORACLE,
-            "op10_line_dedup": line_dedup.ORACLE, "op10_repeated_runs": line_dedup.RUNS_ORACLE}
+            "op10_line_dedup": line_dedup.ORACLE, "op10_repeated_runs": line_dedup.RUNS_ORACLE,
+            "op11_merkle_manifest": merkle_manifest.ORACLE}
