@@ -382,8 +382,8 @@ ORACLE = f"""WITH RECURSIVE
     docs AS MATERIALIZED (
         SELECT doc_id, lang, {_sql_leaf('n_chars')} AS digest, {_sql_leaf('(n_chars::HUGEINT + 1)')} AS raised,
             xor(list_reduce(list_prepend(4294967295::UBIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
-                c -> [ascii(c)::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))),
-                (x, b) -> xor(xor(x, b) >> 1, 3988292384::UBIGINT * (xor(x, b) & 1))), 4294967295::UBIGINT) AS crc
+                lambda c: [ascii(c)::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+                lambda x, b: xor(xor(x, b) >> 1, 3988292384::UBIGINT * (xor(x, b) & 1))), 4294967295::UBIGINT) AS crc
         FROM documents),
     trees AS MATERIALIZED (
         SELECT lang, count(*) AS n, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
@@ -407,10 +407,10 @@ ORACLE = f"""WITH RECURSIVE
         FROM leaves l JOIN roots r ON r.node = l.tree JOIN above a ON (a.n - 1) >> a.level = 0
         LEFT JOIN below_steps b ON b.tree = l.tree AND b.node = l.node LEFT JOIN top_steps s ON s.tree = l.tree),
     folded AS (
-        SELECT *, list_reduce(list_prepend(told, steps), (x, s) -> CASE s[1] WHEN 'L' THEN sha256(s[2:] || x)
+        SELECT *, list_reduce(list_prepend(told, steps), lambda x, s: CASE s[1] WHEN 'L' THEN sha256(s[2:] || x)
             WHEN 'R' THEN sha256(x || s[2:]) ELSE sha256(x) END) AS folded_root FROM told)
     SELECT doc_id, leaf, subroot, root,
-        sha256(array_to_string(list_transform(list_filter(steps, s -> s <> 'N'), s -> s[2:]), '')) AS proof_sha256,
+        sha256(array_to_string(list_transform(list_filter(steps, lambda s: s <> 'N'), lambda s: s[2:]), '')) AS proof_sha256,
         folded_root, folded_root = root AS verified,
-        len(list_filter(steps, s -> s <> 'N'))::INTEGER AS n_siblings
+        len(list_filter(steps, lambda s: s <> 'N'))::INTEGER AS n_siblings
     FROM folded"""

@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strataseek.llm import decontamination, hilbert_search, jaccard_join, line_dedup, lm_scoring, \
-    merkle_manifest, repeated_spans, sentencepiece, token_counts, token_files, toxicity
+    merkle_manifest, repeated_spans, sentencepiece, simhash, \
+    token_alignment, token_counts, token_files, toxicity
 from strataseek.llm.common import read
 
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "")
@@ -79,6 +80,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.manifest_report(read(spark, sf_dir, "documents"))
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_report(read(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_report(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                                            tokenizer_file("piece_bpe_32k.model"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 
