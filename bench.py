@@ -15,12 +15,12 @@ import time
 
 os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
 
-import numpy as np  # noqa: E402
 import pyarrow as pa  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from strataseek.operators.fulltext import document_frequency  # noqa: E402
-from strataseek.operators.stored_index import create_index  # noqa: E402
+from strataseek.operators.quantiser import train  # noqa: E402
+from strataseek.operators.segment_index import create_index  # noqa: E402
 from strataseek.operators.vector_search import (assign_cells, exact_top_k, ivf_top_k,  # noqa: E402
                                                 recall_at_k, train_cells)
 from strataseek.plans import documents  # noqa: E402
@@ -78,7 +78,8 @@ def main() -> None:
 
     seconds["index_build"] = timed(build)
     started = time.perf_counter()
-    stored = create_index(built["rows"], work_path(spark, "bench-index"), np.eye(64)[:16])
+    stored = create_index(built["rows"], work_path(spark, "bench-index"),
+                          train(built["rows"], registered.CELL_ROWS))
     store_seconds = time.perf_counter() - started
     single = SearchIndex.of(stored, probes=4)
     index = SearchIndex(built["rows"], built["lexicon"])

@@ -172,25 +172,6 @@ def bm25_joined(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "ch
     return rank_rows(scored.select("query_id", key, "score"), key, k)
 
 
-def bm25_postings(postings: DataFrame, queries: DataFrame, lexicon_size: tuple[int, float], k: int = 10,
-                  key: str = "chunk_id", query_id: str = "query_id", query_text: str = "query",
-                  k1: float = K1, b: float = B) -> DataFrame:
-    """BM25 from stored postings (``term, <key>, tf, length``) of the queries' terms.
-
-    The query terms are a bounded batch and are broadcast, so long postings are read where they
-    lie; the sum per (query, row) is a partial aggregate.
-    """
-    n, average = lexicon_size
-    frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    wanted = (_query_terms(queries, query_id, query_text).select("query_id", F.explode("terms").alias("term"))
-              .join(frequency, "term").select("query_id", "term", idf.alias("idf")))
-    gain = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.lit(average)))
-    scored = (postings.join(F.broadcast(wanted), "term").groupBy("query_id", key)
-              .agg(significant_column(F.sum(F.col("idf") * gain)).alias("score")))
-    return rank_rows(scored.select("query_id", key, "score"), key, k)
-
-
 def normalise_scores(results: DataFrame, score: str = "score",
                      by: list[str] = ("query_id",)) -> DataFrame:
     """Min-max normalise one query's scores; equal scores all become 0."""

@@ -156,30 +156,52 @@ def assign_cells(corpus: DataFrame, cells: KMeansModel | np.ndarray, vector: str
                    lambda values: pa.array(_gaps(values, centres).argmin(axis=1), pa.int32()))
 
 
+@dataclass
+class VectorBatch:
+    """Queries of one batch and the cells that each of them probes."""
+
+    ids: list
+    id_type: T.DataType
+    vectors: np.ndarray
+    near: np.ndarray
+
+
+def cell_scan(rows: DataFrame, batch: VectorBatch, cells: int, metric: str = "cosine", key: str = "chunk_id",
+              vector: str = "embedding", cell: str = "cell") -> VectorScan:
+    """The scan of a batch over rows with a cell: a row meets the queries that probe its cell."""
+    wanted, dim = batch.vectors, batch.vectors.shape[1]
+    probing = [np.flatnonzero((batch.near == c).any(axis=1)) for c in range(cells)]
+    used = [c for c in range(cells) if len(probing[c])]
+
+    def scorer(part_of_rows: pa.RecordBatch):
+        values = _matrix(part_of_rows.column(1), dim)
+        held = part_of_rows.column(2).to_numpy(zero_copy_only=False)
+        for c in np.unique(held):
+            members = np.flatnonzero(held == c)
+            for part in blocks(len(members), max(len(probing[c]), dim)):
+                yield (members[part], probing[c],
+                       score_matrix(values[members[part]], wanted[probing[c]], metric))
+
+    probed = rows.filter(F.col(cell).isin(used)) if len(used) < cells else rows
+    return VectorScan(_usable(probed.select(key, vector, cell), vector, dim), batch.ids,
+                      batch.id_type, scorer, _refiner(wanted, dim, metric))
+
+
+def cell_top_k(rows: DataFrame, batch: VectorBatch, cells: int, k: int, metric: str = "cosine",
+               key: str = "chunk_id") -> DataFrame:
+    return _top_k(cell_scan(rows, batch, cells, metric, key), k)
+
+
 def ivf_scan(indexed: DataFrame, cells: KMeansModel | np.ndarray, queries: DataFrame, probes: int,
              metric: str = "cosine", key: str = "chunk_id", vector: str = "embedding",
              cell: str = "cell", query_id: str = "query_id",
              query_vector: str = "query_vector") -> VectorScan:
     ids, wanted = _batch(queries, query_id, query_vector)
-    dim = wanted.shape[1]
     centres = _centres(cells)
     nearest = np.argsort(_gaps(wanted, centres), axis=1, kind="stable")[:, :probes] if len(wanted) \
         else np.zeros((0, probes), int)
-    probing = [np.flatnonzero((nearest == c).any(axis=1)) for c in range(len(centres))]
-    used = [c for c in range(len(centres)) if len(probing[c])]
-
-    def scorer(batch: pa.RecordBatch):
-        values = _matrix(batch.column(1), dim)
-        held = batch.column(2).to_numpy(zero_copy_only=False)
-        for c in np.unique(held):
-            members = np.flatnonzero(held == c)
-            for part in blocks(len(members), max(len(probing[c]), dim)):
-                yield (members[part], probing[c],
-                       score_matrix(values[members[part]], wanted[probing[c]], metric))
-
-    probed = indexed.filter(F.col(cell).isin(used)) if len(used) < len(centres) else indexed
-    return VectorScan(_usable(probed.select(key, vector, cell), vector, dim), ids,
-                      queries.schema[query_id].dataType, scorer, _refiner(wanted, dim, metric))
+    return cell_scan(indexed, VectorBatch(ids, queries.schema[query_id].dataType, wanted, nearest), len(centres),
+                     metric, key, vector, cell)
 
 
 def ivf_top_k(indexed: DataFrame, cells: KMeansModel | np.ndarray, queries: DataFrame, probes: int,

@@ -10,12 +10,11 @@ from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataseek.functions.text import preview, tokens
+from strataseek.functions.text import preview
 from strataseek.functions.vectors import hashing_embedding
-from strataseek.operators.fulltext import (bm25_postings, bm25_scan, bm25_top_k, corpus_size,
-                                           normalise_scores)
+from strataseek.operators.fulltext import bm25_scan, bm25_top_k, corpus_size, normalise_scores
 from strataseek.operators.hybrid import complete_list, count_keyword_matches, fuse_ranks, list_depth
-from strataseek.operators.stored_index import StoredIndex
+from strataseek.operators.segment_index import SegmentIndex
 from strataseek.operators.topk import MAX_QUERY_ROWS, in_batches
 from strataseek.operators.vector_search import exact_scan, exact_top_k, ivf_scan, ivf_top_k
 from strataseek.session import cut_lineage, fits_broadcast, held_locally
@@ -38,17 +37,17 @@ class SearchIndex:
     lexicon: DataFrame | None = None
     centroids: KMeansModel | np.ndarray | None = None
     probes: int | None = None
-    stored: StoredIndex | None = None
+    stored: SegmentIndex | None = None
 
     @classmethod
-    def of(cls, stored: StoredIndex, probes: int | None = None) -> SearchIndex:
+    def of(cls, stored: SegmentIndex, probes: int | None = None) -> SearchIndex:
         """Search a stored index: ``probes`` cells per query (default all), postings of the terms."""
         return cls(stored.rows, centroids=stored.centroids,
                    probes=probes or len(stored.centroids), stored=stored)
 
     @cached_property
     def size(self) -> tuple[int, float]:
-        return corpus_size(self.rows)
+        return corpus_size(self.rows) if self.stored is None else self.stored.size
 
 
 def embed_queries(queries: DataFrame, dim: int = 64) -> DataFrame:
@@ -57,6 +56,8 @@ def embed_queries(queries: DataFrame, dim: int = 64) -> DataFrame:
 
 
 def vector_list(index: SearchIndex, queries: DataFrame, k: int) -> DataFrame:
+    if index.stored is not None:
+        return index.stored.vector_top_k(queries, k, index.probes)
     if index.centroids is not None and index.probes is not None:
         return ivf_top_k(index.rows, index.centroids, queries, index.probes, k)
     return exact_top_k(index.rows, queries, k)
@@ -64,15 +65,7 @@ def vector_list(index: SearchIndex, queries: DataFrame, k: int) -> DataFrame:
 
 def keyword_list(index: SearchIndex, queries: DataFrame, k: int) -> DataFrame:
     if index.stored is not None and "tokens" in index.rows.columns:
-        def answer(part: DataFrame) -> DataFrame:
-            terms = sorted({r[0] for r in part.select(F.explode(tokens("query"))).distinct().collect()})
-            found = index.stored.postings(terms)
-            if found is None:
-                found = index.rows.limit(0).select(F.lit("").alias("term"), "chunk_id", F.lit(1).alias("tf"),
-                                                   F.lit(1).alias("length"))
-            return bm25_postings(found, part, index.size, k)
-
-        return in_batches(queries, "query_id", MAX_QUERY_ROWS, answer)
+        return index.stored.keyword_top_k(queries, k)
     return bm25_top_k(index.rows, queries, k, lexicon=index.lexicon, size=index.size)
 
 

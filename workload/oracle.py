@@ -535,6 +535,16 @@ def all_oracles() -> dict[str, str]:
               ON a.chunk_id = b.chunk_id
             WHERE a.chunk_id IS NULL OR b.chunk_id IS NULL OR a.embedding <> b.embedding""",
             "vecs", "upserted"),
+        "change_feed_log": sql("""
+            SELECT coalesce(a.chunk_id, b.chunk_id) AS chunk_id,
+                   CASE WHEN a.chunk_id IS NULL THEN 'insert'
+                        WHEN b.chunk_id IS NULL THEN 'delete' ELSE 'update' END AS change_type
+            FROM vecs a FULL JOIN (
+                SELECT * FROM upserted
+                WHERE chunk_id NOT IN (SELECT chunk_id FROM vecs WHERE label = 1)) b
+              ON a.chunk_id = b.chunk_id
+            WHERE a.chunk_id IS NULL OR b.chunk_id IS NULL OR a.embedding <> b.embedding""",
+            "vecs", "upserted"),
         # -------------------------------------------------------- silver and gold
         "silver_events": sql(f"SELECT {_EVENT_COLUMNS} FROM ev", "ev"),
         "silver_states": sql("SELECT * FROM states", "states"),
@@ -732,6 +742,9 @@ def all_oracles() -> dict[str, str]:
         "index_upsert": sql(f"""
             SELECT chunk_id, file_name, {vec('embedding')} AS embedding FROM upserted""",
             "upserted"),
+        "index_after_merge": sql(f"""
+            SELECT chunk_id, file_name, {vec('embedding')} AS embedding FROM upserted
+            WHERE chunk_id NOT IN (SELECT chunk_id FROM vecs WHERE label = 1)""", "vecs", "upserted"),
         "index_upsert_stamps": sql("""
             SELECT chunk_id, CASE WHEN chunk_id IN (SELECT chunk_id FROM batch WHERE len(embedding) = 64)
                                   THEN '2024-01-01T00:00:00' END AS updated_at

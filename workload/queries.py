@@ -13,13 +13,13 @@ from pyspark.sql import types as T
 
 from strataseek.functions import geo, text, wkb
 from strataseek.functions.sql import register_sql_functions
-from strataseek.operators import index_table
+from strataseek.operators import index_table, quantiser
 from strataseek.operators.embed import embed_hashing, embed_with_model
 from strataseek.operators.fulltext import bm25_top_k, document_frequency, normalise_scores
+from strataseek.operators.segment_index import create_index, open_index
 from strataseek.operators.spatial_join import (points_per_polygon, polygon_intersects_join,
                                                polygon_left_join, with_polygon_id,
                                                within_distance_join)
-from strataseek.operators.stored_index import create_index, open_index
 from strataseek.operators.vector_search import (assign_cells, exact_top_k, ivf_top_k, lsh_top_k,
                                                 recall_at_k, with_buckets)
 from strataseek.plans import dashboards, documents, medallion, searchbench
@@ -35,6 +35,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 SEARCH_K = 10
+# Rows of a cell of the stored indexes, on average.
+CELL_ROWS = 250
 RADIUS_M = 150_000.0
 
 
@@ -118,16 +120,27 @@ def search_index(spark, sf_dir) -> SearchIndex:
 
 
 def stored_search_index(spark, sf_dir):
-    """The search index as files; cells around sixteen axes of the vector space."""
-    path = landing.landed(spark, sf_dir, "stored-index", lambda path: create_index(
-        search_index(spark, sf_dir).rows, path, np.eye(64)[:16]))
-    return open_index(spark, path)
+    """The search index as files, in cells of a quantiser trained from its rows."""
+    def write(path):
+        rows = search_index(spark, sf_dir).rows
+        create_index(rows, path, quantiser.train(rows, CELL_ROWS))
+
+    return open_index(spark, landing.landed(spark, sf_dir, "stored-index", write))
+
+
+def vector_index(spark, sf_dir):
+    """An index of the vectors alone; each caller works on a clone of its own."""
+    def write(path):
+        rows = fx.vector_rows(spark, sf_dir).select("chunk_id", "file_name", "embedding")
+        create_index(rows, path, quantiser.train(rows, CELL_ROWS))
+
+    base = open_index(spark, landing.landed(spark, sf_dir, "vector-index", write))
+    return base.clone(work_path(spark, "vector-index-clone"))
 
 
 def upserted_index(spark, sf_dir):
     """An index of the vectors after the upsert batch, and what the upsert reported."""
-    stored = create_index(fx.vector_rows(spark, sf_dir).select("chunk_id", "file_name", "embedding"),
-                          work_path(spark, "vector-index"), np.eye(64)[:16])
+    stored = vector_index(spark, sf_dir)
     report, failed = stored.upsert(fx.upsert_batch(spark, sf_dir), position="position",
                                    stamp=F.lit("2024-01-01 00:00:00").cast("timestamp"))
     return stored, report, failed
@@ -713,6 +726,23 @@ def index_upsert_report(spark, sf_dir):
     return upserted_index(spark, sf_dir)[1]
 
 
+@query
+def change_feed_log(spark, sf_dir):
+    """The changes of ``change_feed_diff``, from what the upsert and a delete wrote to the change log."""
+    stored, _, _ = upserted_index(spark, sf_dir)
+    stored.delete(fx.vector_rows(spark, sf_dir).filter("label = 1").select("chunk_id"))
+    return stored.net_changes(0).select("chunk_id", "change_type")
+
+
+@query
+def index_after_merge(spark, sf_dir):
+    """The index after the upsert and a delete, with its small segments merged."""
+    stored, _, _ = upserted_index(spark, sf_dir)
+    stored.delete(fx.vector_rows(spark, sf_dir).filter("label = 1").select("chunk_id"))
+    stored.merge(share=1.0)
+    return flat(stored.rows.select("chunk_id", "file_name", "embedding"))
+
+
 @query
 def vector_topk_exact(spark, sf_dir):
     found = exact_top_k(fx.vector_rows(spark, sf_dir), fx.label_queries(spark, sf_dir),
