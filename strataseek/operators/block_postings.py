@@ -30,11 +30,13 @@ from pyspark.sql.window import Window
 from strataseek.functions.text import tokens
 from strataseek.operators.fulltext import B, K1
 from strataseek.operators.topk import MAX_QUERY_ROWS, in_batches, rank_rows, significant
-from strataseek.session import fits_broadcast
+from strataseek.session import BROADCAST_LIMIT_BYTES
 
 BLOCK_ENTRIES = 256
 #: Rows of a shard at most, on average; small tables get shards for all cores.
 SHARD_ROWS, LEAST_SHARD_ROWS = 65_536, 4_096
+#: Rows of all shards that are named before they are ranked.
+FEW_ROWS = 1_000_000
 #: Partial sums may differ from whole ones by rounding; bounds are widened by this share.
 _SLACK = 1e-7
 
@@ -96,6 +98,10 @@ def _blocks(key: str, block_entries: int):
             for block, low in enumerate(range(a, b, block_entries)):
                 high = min(low + block_entries, b)
                 of, tf = number[low:high], frequency[low:high]
+                if high - low == 1 and tf[0] < 256 and sizes[of[0]] < 256:  # most terms
+                    own, times, length = int(of[0]), int(tf[0]), int(sizes[of[0]])
+                    rows.append((word, block, 1, own, own, times, length, bytes((0, 0, 0, 0, times, length))))
+                    continue
                 rows.append((word, block, high - low, int(of[0]), int(of[-1]), int(tf.max()), int(sizes[of].min()),
                              pack(of, tf, sizes[of])))
         rows.sort(key=lambda r: r[:2])
@@ -111,9 +117,14 @@ def with_shard(rows: DataFrame, key: str, shards: int) -> DataFrame:
     return rows.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
 
 
+def _apart(rows: DataFrame, shards: int) -> DataFrame:
+    """Shards in tasks of their own, also when they are small: adaptive execution would put them into one."""
+    return rows.repartition(max(1, 3 * shards), "shard")
+
+
 def build_blocks(rows: DataFrame, shards: int, key: str = "chunk_id", block_entries: int = BLOCK_ENTRIES) -> DataFrame:
     """Block rows of ``rows`` (key, ``tokens``); keys are unique. A shard is built by one task."""
-    return with_shard(rows.select(key, "tokens"), key, shards).groupBy("shard") \
+    return _apart(with_shard(rows.select(key, "tokens"), key, shards), shards).groupBy("shard") \
         .applyInArrow(_blocks(key, block_entries), _SCHEMA)
 
 
@@ -121,7 +132,7 @@ def shard_numbers(rows: DataFrame, shards: int, key: str = "chunk_id") -> DataFr
     """``shard, number, <key>``: the key behind every number."""
     kind = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("number", T.IntegerType()),
                          T.StructField(key, rows.schema[key].dataType)])
-    return with_shard(rows.select(key), key, shards).groupBy("shard").applyInArrow(_numbered(key), kind)
+    return _apart(with_shard(rows.select(key), key, shards), shards).groupBy("shard").applyInArrow(_numbered(key), kind)
 
 
 def lexicon_of(blocks: DataFrame) -> DataFrame:
@@ -129,6 +140,13 @@ def lexicon_of(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("term").agg(F.sum("entries").alias("df"))
 
 
+def _add(found: np.ndarray, rows: np.ndarray, idf: float, numbers: np.ndarray, gain: np.ndarray) -> None:
+    """Add, in place, what a term gives to those ``rows`` that it holds."""
+    spot = np.minimum(np.searchsorted(numbers, rows), len(numbers) - 1)
+    hit = numbers[spot] == rows
+    found[hit] += idf * gain[spot[hit]]
+
+
 @dataclass
 class ShardPostings:
     """The blocks of one shard that a query batch may need; counts what it opens."""
@@ -140,6 +158,7 @@ class ShardPostings:
     dead: np.ndarray | None = None
     opened: int = 0
     _open: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
+    _whole: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
 
     def __post_init__(self):
         table = self.table = self.table.sort_by([("term", "ascending"), ("block", "ascending")]).combine_chunks()
@@ -172,6 +191,14 @@ class ShardPostings:
             self.opened += 1
         return held
 
+    def whole(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """All entries of a term."""
+        held = self._whole.get(low)
+        if held is None:
+            parts = [self.block(i) for i in range(low, high)]
+            held = self._whole[low] = parts[0] if len(parts) == 1 else tuple(map(np.concatenate, zip(*parts)))
+        return held
+
     def top_k(self, weights: dict[str, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and scores of the ``k`` best rows; greater score first, then smaller number."""
         terms = [(idf * self.bound[slice(*self.range[t])].max(), idf, *self.range[t])
@@ -185,22 +212,26 @@ class ShardPostings:
         # any row may still be among the best
         while done < len(terms) and floor <= rest[done]:
             _, idf, low, high = terms[done]
-            for i in range(low, high):
-                numbers, gain = self.block(i)
-                scores[numbers] += idf * gain
+            numbers, gain = self.whole(low, high)
+            scores[numbers] += idf * gain
             done += 1
-            if done & (done - 1) == 0 or done % 8 == 0 or done == len(terms):
+            if done & (done - 1) == 0 or done == len(terms):
                 floor = self._floor(scores, k)
         rows = np.flatnonzero(scores > 0)
         found = scores[rows]
         # only rows that were met can
+        looked_at = math.inf
         for at in range(done, len(terms) + 1):
-            floor = max(floor, self._floor(found, k))
+            if at == len(terms) or len(found) < looked_at / 2 or (at - done) % 4 == 0:
+                floor, looked_at = max(floor, self._floor(found, k)), len(found)
             fine = found + rest[at] >= floor * (1 - _SLACK)
             rows, found = rows[fine], found[fine]
             if at == len(terms) or not len(rows):
                 break
             _, idf, low, high = terms[at]
+            if low in self._whole:
+                _add(found, rows, idf, *self._whole[low])
+                continue
             place = low + np.searchsorted(self.last[low:high], rows)
             inside = place < high
             inside[inside] &= self.first[place[inside]] <= rows[inside]
@@ -210,11 +241,8 @@ class ShardPostings:
             keep = reach >= floor * (1 - _SLACK)
             rows, found, place, inside = rows[keep], found[keep], place[keep], inside[keep]
             for i in np.unique(place[inside]).tolist():
-                mine = np.flatnonzero(inside & (place == i))
-                numbers, gain = self.block(i)
-                spot = np.searchsorted(numbers, rows[mine])
-                hit = numbers[np.minimum(spot, len(numbers) - 1)] == rows[mine]
-                found[mine[hit]] += idf * gain[spot[hit]]
+                mine = slice(*np.searchsorted(place, [i, i + 1]))  # rows and so their blocks ascend
+                _add(found[mine], rows[mine], idf, *self.block(i))
         found = significant(found)
         order = np.lexsort((rows, -found))[:k]
         return rows[order], found[order]
@@ -243,7 +271,7 @@ class QueryBatch:
 
 
 def search_blocks(blocks: DataFrame, batch: QueryBatch, lexicon: DataFrame, size: tuple[int, float], k: int,
-                  dead: DataFrame | None = None, k1: float = K1, b: float = B) -> DataFrame:
+                  dead: DataFrame | None = None, shards: int | None = None, k1: float = K1, b: float = B) -> DataFrame:
     """``query, shard, number, score``: up to k rows of every shard for each query (its place in the batch).
 
     ``lexicon`` (term, df; several rows of a term are summed) and ``size`` (rows, average length) count
@@ -252,7 +280,7 @@ def search_blocks(blocks: DataFrame, batch: QueryBatch, lexicon: DataFrame, size
     """
     spark, vocabulary = blocks.sparkSession, batch.vocabulary()
     asked = spark.createDataFrame(pa.table({"term": pa.array(vocabulary, pa.string())}))
-    if fits_broadcast(asked, F.octet_length("term") + 16):
+    if sum(map(len, vocabulary)) * 4 + 16 * len(vocabulary) <= BROADCAST_LIMIT_BYTES:
         asked = F.broadcast(asked)
     n, average = size
     df = {r.term: r.df for r in lexicon.join(asked, "term").groupBy("term").agg(F.sum("df").alias("df")).collect() if r.df > 0}
@@ -271,30 +299,36 @@ def search_blocks(blocks: DataFrame, batch: QueryBatch, lexicon: DataFrame, size
 
     few = blocks.join(asked, "term", "left_semi") if len(vocabulary) > 200 else blocks.filter(F.col("term").isin(vocabulary))
     schema = "query int, shard int, number int, score double"
+    few = few if shards is None else _apart(few, shards)
     if dead is None:
         return few.groupBy("shard").applyInArrow(lambda table: answer(table), schema)
     return few.groupBy("shard").cogroup(dead.select("shard", "number").groupBy("shard")).applyInArrow(answer, schema)
 
 
-def ranked_keys(found: DataFrame, numbers: DataFrame, batch: QueryBatch, k: int, key: str = "chunk_id") -> DataFrame:
-    """``query_id, <key>, score, rank`` from rows of shards; rows on the k-th score keep their key until ranked."""
+def ranked_keys(found: DataFrame, numbers: DataFrame, batch: QueryBatch, k: int, key: str = "chunk_id",
+                shards: int | None = None) -> DataFrame:
+    """``query_id, <key>, score, rank`` from rows of shards.
+
+    Of many rows, those that others of their query beat k times go before keys are looked up; rows on the k-th score stay.
+    """
     spark = found.sparkSession
-    best = found.withColumn("place", F.rank().over(Window.partitionBy("query").orderBy(F.col("score").desc()))) \
-        .filter(F.col("place") <= k).drop("place")
+    if shards is None or shards * len(batch.ids) * k > FEW_ROWS:
+        found = found.withColumn("place", F.rank().over(Window.partitionBy("query").orderBy(F.col("score").desc()))) \
+            .filter(F.col("place") <= k).drop("place")
     ids = spark.createDataFrame(list(enumerate(batch.ids)),
                                 T.StructType([T.StructField("query", T.IntegerType()), T.StructField("query_id", batch.id_type)]))
-    named = numbers.join(best, ["shard", "number"]).join(F.broadcast(ids), "query")
+    named = numbers.join(found, ["shard", "number"]).join(F.broadcast(ids), "query")
     return rank_rows(named.select("query_id", key, "score"), key, k)
 
 
 def bm25_blocks(blocks: DataFrame, numbers: DataFrame, queries: DataFrame, lexicon: DataFrame, size: tuple[int, float],
                 k: int = 10, key: str = "chunk_id", query_id: str = "query_id", query_text: str = "query",
-                dead: DataFrame | None = None, max_queries: int = MAX_QUERY_ROWS) -> DataFrame:
+                dead: DataFrame | None = None, shards: int | None = None, max_queries: int = MAX_QUERY_ROWS) -> DataFrame:
     """The ``k`` best rows per query from stored blocks: ``query_id, <key>, score, rank``."""
     def answer(part: DataFrame) -> DataFrame:
         batch = QueryBatch.of(part, query_id, query_text)
-        found = search_blocks(blocks, batch, lexicon, size, k, dead)
-        return ranked_keys(found, numbers, batch, k, key)
+        found = search_blocks(blocks, batch, lexicon, size, k, dead, shards)
+        return ranked_keys(found, numbers, batch, k, key, shards)
 
     return in_batches(queries, query_id, max_queries, answer)
 

@@ -1,7 +1,7 @@
 """A two-level quantiser of vectors: coarse centres, and fine ones below each of them.
 
-Both levels are trained from the rows: coarse centres by MLlib's k-means over a sample, fine ones by a task for each coarse
-cell over the sampled rows of it. A fine cell that holds more than ``most_rows`` rows of the whole
+Both levels are trained from the rows by k-means: coarse centres from a bounded sample in one task, fine ones in a task
+for each coarse cell, from the sampled rows in it. A fine cell that holds more than ``most_rows`` rows of the whole
 table is divided again, from rows of that cell, until none is too large or its rows are all equal.
 Vectors are compared by direction (unit length), as cosine search does. The sample is picked by a
 hash of the key and has about ``SAMPLE_ROWS`` rows at most; every row is assigned.
@@ -14,8 +14,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,24 +40,24 @@ def _nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return ((centres ** 2).sum(1)[None, :] - 2 * rows @ centres.T).argmin(axis=1)
 
 
-def cluster(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """Plain k-means of a bounded sample; the first centres are rows far from those before them."""
-    unique = np.unique(rows, axis=0)
-    if len(unique) <= k:
-        return unique
+def cluster(rows: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
+    """Plain k-means of a bounded sample, at most ``k`` different centres; the first ones are rows far from those before them."""
     random = np.random.default_rng(_SEED)
-    centres = [unique[random.integers(len(unique))]]
-    gap = ((unique - centres[0]) ** 2).sum(1)
-    for _ in range(k - 1):
-        centres.append(unique[random.choice(len(unique), p=gap / gap.sum())])
-        gap = np.minimum(gap, ((unique - centres[-1]) ** 2).sum(1))
-    centres = np.array(centres)
+    squares = (rows ** 2).sum(1)
+    centres = rows[random.integers(len(rows))][None]
+    gap = np.full(len(rows), np.inf)
+    while True:
+        gap = np.minimum(gap, np.maximum(squares - 2 * rows @ centres[-1] + (centres[-1] ** 2).sum(), 0))
+        gap[gap < 1e-12] = 0
+        if len(centres) >= k or not gap.any():
+            break
+        centres = np.vstack([centres, rows[random.choice(len(rows), p=gap / gap.sum())]])
     for _ in range(rounds):
         owner = _nearest(rows, centres)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, owner, rows)
-        counts = np.bincount(owner, minlength=k)
-        moved = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centres)
+        order = np.argsort(owner, kind="stable")
+        held, begins, counts = np.unique(owner[order], return_index=True, return_counts=True)
+        moved = centres.copy()
+        moved[held] = np.add.reduceat(rows[order], begins, axis=0) / counts[:, None]
         if np.allclose(moved, centres, atol=1e-9):
             break
         centres = moved
@@ -123,16 +121,6 @@ def sampled(rows: DataFrame, most: int, key: str) -> DataFrame:
     return rows.filter(F.pmod(F.xxhash64(key), F.lit(share)) == 0) if share > 1 else rows
 
 
-def _train_below(rows_per_cell: float, dim: int, vector: str):
-    """Fine centres of one coarse cell from its sampled rows."""
-    def run(table: pa.Table) -> pa.Table:
-        rows = unit(_matrix(table[vector], dim))
-        centres = cluster(rows, max(1, math.ceil(len(rows) / rows_per_cell)))
-        return pa.table({"parent": pa.array([table["group"][0].as_py()] * len(centres), pa.int32()),
-                         "centre": pa.array([c.tolist() for c in centres], pa.list_(pa.float64()))})
-    return run
-
-
 def train(rows: DataFrame, rows_per_cell: int, most_rows: int | None = None, key: str = "chunk_id", vector: str = "embedding",
           sample_rows: int = SAMPLE_ROWS, coarse: int | None = None) -> Quantiser:
     """Centres for cells of about ``rows_per_cell`` rows and, by division, at most ``most_rows`` (default: four times as many)."""
@@ -146,18 +134,27 @@ def train(rows: DataFrame, rows_per_cell: int, most_rows: int | None = None, key
     cells = max(1, round(total / rows_per_cell))
     tops = min(cells, coarse or max(2, round(math.sqrt(cells))))
     sample = cut_lineage(sampled(usable, sample_rows, key), "vector-sample")
-    length = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x))
-    normed = sample.select(array_to_vector(F.when(length > 0, F.transform(vector, lambda x: x / length)).otherwise(F.col(vector))).alias("features"))
-    model = KMeans(k=tops, seed=_SEED, maxIter=10, featuresCol="features").fit(normed)
-    quantiser = Quantiser(np.array(model.clusterCenters()), np.zeros((0, dim)), np.zeros(0, int))
-    per_cell = rows_per_cell * min(1.0, sample.count() / total)
     schema = "parent int, centre array<double>"
 
+    def divide(parts: dict[int, int]):
+        """Centres for each group of sampled rows, as many as asked for."""
+        def run(table: pa.Table) -> pa.Table:
+            own = table["group"][0].as_py()
+            centres = cluster(unit(_matrix(table[vector], dim)), parts.get(own) or max(1, math.ceil(table.num_rows / per_cell)))
+            return pa.table({"parent": pa.array([own] * len(centres), pa.int32()),
+                             "centre": pa.array([c.tolist() for c in centres], pa.list_(pa.float64()))})
+        return run
+
+    per_cell = rows_per_cell * min(1.0, sample.count() / total)
+    # the sample is bounded, so one task holds it for the coarse level
+    top = sample.select(vector, F.lit(0).alias("group")).groupBy("group").applyInArrow(divide({0: tops}), schema).collect()
+    quantiser = Quantiser(np.array(sorted(r.centre for r in top)), np.zeros((0, dim)), np.zeros(0, int))
+
     def with_top(frame: DataFrame) -> DataFrame:
         single = Quantiser(quantiser.coarse, quantiser.coarse, np.arange(len(quantiser.coarse)))
         return single.assign(frame, vector).withColumnRenamed("top", "group").drop("cell")
 
-    made = with_top(sample).groupBy("group").applyInArrow(_train_below(per_cell, dim, vector), schema).collect()
+    made = with_top(sample).groupBy("group").applyInArrow(divide({}), schema).collect()
     made.sort(key=lambda r: (r.parent, r.centre))
     empty = sorted(set(range(len(quantiser.coarse))) - {r.parent for r in made})
     centres = [r.centre for r in made] + [quantiser.coarse[t].tolist() for t in empty]
@@ -174,13 +171,7 @@ def train(rows: DataFrame, rows_per_cell: int, most_rows: int | None = None, key
         part = placed.filter(F.col("cell").isin(crowded)).filter(F.pmod(F.xxhash64(key), share) == 0) \
             .withColumnRenamed("cell", "group")
 
-        def divide(table: pa.Table) -> pa.Table:
-            own = table["group"][0].as_py()
-            centres = cluster(unit(_matrix(table[vector], dim)), math.ceil(sizes[own] / rows_per_cell))
-            return pa.table({"parent": pa.array([own] * len(centres), pa.int32()),
-                             "centre": pa.array([c.tolist() for c in centres], pa.list_(pa.float64()))})
-
-        parts = part.groupBy("group").applyInArrow(divide, schema).collect()
+        parts = part.groupBy("group").applyInArrow(divide({c: math.ceil(sizes[c] / rows_per_cell) for c in crowded}), schema).collect()
         by_cell: dict[int, list] = {}
         for r in sorted(parts, key=lambda r: (r.parent, r.centre)):
             by_cell.setdefault(r.parent, []).append(r.centre)

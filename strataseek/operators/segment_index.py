@@ -37,7 +37,7 @@ from strataseek.operators.index_table import check_rows, describe_index, row_has
 from strataseek.operators.quantiser import Quantiser, unit
 from strataseek.operators.topk import MAX_QUERY_ROWS, in_batches
 from strataseek.operators.vector_search import VectorBatch, cell_top_k
-from strataseek.session import cut_lineage
+from strataseek.session import cut_lineage, together
 
 KEY = "chunk_id"
 PLACES = ("segment", "top", "cell")
@@ -198,7 +198,8 @@ class SegmentIndex:
         dead = self._dead()
         if dead is not None:
             dead = dead.withColumn("shard", self._shard("target"))
-        return block_postings.bm25_blocks(blocks, numbers, queries, self._lexicon(), self.size, k, KEY, query_id, query_text, dead)
+        return block_postings.bm25_blocks(blocks, numbers, queries, self._lexicon(), self.size, k, KEY, query_id, query_text, dead,
+                                          sum(s.shards for s in self._full))
 
     def near_cells(self, vectors: np.ndarray, probes: int) -> np.ndarray:
         """The ``probes`` cells nearest to each vector, by direction if the cells were trained so."""
@@ -242,14 +243,17 @@ class SegmentIndex:
         words = self.state["words"]
         count, tokens = kept.agg(F.count(F.lit(1)), F.sum(F.size("tokens")) if words else F.lit(0)).first()
         shards = block_postings.shard_count(count, self.spark.sparkContext.defaultParallelism)
-        block_postings.shard_numbers(kept, shards, KEY).join(kept.select(KEY, "top", "cell"), KEY) \
-            .repartitionByRange(shards, "shard").sortWithinPartitions("shard", "number").write.parquet(self._path("numbers", name))
-        if words:
-            block_postings.build_blocks(kept, shards, KEY).repartitionByRange(shards, "shard") \
-                .sortWithinPartitions("term", "shard", "block").write.parquet(self._path("blocks", name))
+
+        def write_numbers():
+            block_postings.shard_numbers(kept, shards, KEY).join(kept.select(KEY, "top", "cell"), KEY) \
+                .write.parquet(self._path("numbers", name))
+
+        def write_words():
+            block_postings.build_blocks(kept, shards, KEY).write.parquet(self._path("blocks", name))
             made = self.spark.read.schema(block_postings._SCHEMA).parquet(self._path("blocks", name))
-            block_postings.lexicon_of(made).repartitionByRange(shards, "term").sortWithinPartitions("term") \
-                .write.parquet(self._path("lexicon", name))
+            block_postings.lexicon_of(made).sortWithinPartitions("term").write.parquet(self._path("lexicon", name))
+
+        together(write_numbers, *([write_words] if words else []))
         return ({"id": name, "base": self.path, "rows": count, "shards": shards},
                 {"rows": count, "tokens": int(tokens or 0)})
 
@@ -272,6 +276,7 @@ class SegmentIndex:
     def clone(self, path: str) -> SegmentIndex:
         """An index of its own that begins as this version; no data is copied."""
         copy = SegmentIndex(self.spark, path, {**self.state, "version": -1})
+        copy.__dict__["quantiser"] = self.quantiser
         if not copy._claim({"operation": "clone", "changes": []}):
             raise FileExistsError(path)
         return copy
@@ -290,11 +295,11 @@ class SegmentIndex:
 
     def _commit(self, operation: str, keys: DataFrame, fresh: DataFrame | None, make: Callable[[], tuple[dict, dict]] | None) -> None:
         """Write what the keys replace, and take the next version; again on the newer state if that is gone."""
-        segment, totals = make() if make else (None, {"rows": 0, "tokens": 0})
-        columns = [c for c in self._schema().names]
-        image = F.struct(*columns)
-        for _ in range(ATTEMPTS):
-            name = f"s-{uuid.uuid4().hex}" if segment is None else segment["id"]
+        image = F.struct(*self._schema().names)
+        attempt, found, old = "", None, None
+
+        def look_up():
+            nonlocal attempt, found, old
             attempt = f"s-{uuid.uuid4().hex}"
             found = cut_lineage(self._found(keys), "replaced-places")
             old = cut_lineage(self._replaced(found), "replaced-rows")
@@ -303,10 +308,15 @@ class SegmentIndex:
                 both = before.withColumn("after", F.lit(None).cast(T.StructType(self._schema().fields)))
             else:
                 both = before.join(fresh.select(KEY, image.alias("after")), KEY, "full")
-            both.select(KEY, F.when(F.col("before").isNull(), "insert").when(F.col("after").isNull(), "delete")
-                        .otherwise("update").alias("change_type"), "before", "after").write.parquet(self._path("changes", attempt))
-            found.select("target", "shard", "number", KEY).coalesce(1).write.parquet(self._path("dead", attempt))
-            gone, lost = old.agg(F.count(F.lit(1)), F.sum(F.size("tokens")) if self.state["words"] else F.lit(0)).first()
+            changes = both.select(KEY, F.when(F.col("before").isNull(), "insert").when(F.col("after").isNull(), "delete")
+                                  .otherwise("update").alias("change_type"), "before", "after")
+            return together(
+                lambda: changes.write.parquet(self._path("changes", attempt)),
+                lambda: found.select("target", "shard", "number", KEY).coalesce(1).write.parquet(self._path("dead", attempt)),
+                lambda: old.agg(F.count(F.lit(1)), F.sum(F.size("tokens")) if self.state["words"] else F.lit(0)).first())[2]
+
+        (segment, totals), (gone, lost) = together(make or (lambda: (None, {"rows": 0, "tokens": 0})), look_up)
+        for _ in range(ATTEMPTS):
             added = [] if segment is None else [segment]
             if self.state["words"] and gone:
                 # the counts of the replaced rows are taken off by a segment without rows
@@ -320,6 +330,7 @@ class SegmentIndex:
                             "tokens": self.state["tokens"] + totals["tokens"] - int(lost or 0)}):
                 return
             self.refresh()
+            gone, lost = look_up()
         raise WriteConflict(f"{ATTEMPTS} attempts at {self.path}")
 
     def upsert(self, batch: DataFrame, position: str | None = None, stamp: Column | None = None) -> tuple[DataFrame, DataFrame]:
@@ -334,6 +345,7 @@ class SegmentIndex:
             valid = earliest_per_key(valid, KEY, position)
         columns = [c for c in self._schema().names if c != "updated_at"]
         fresh = cut_lineage(_stamped(valid.select(*columns), stamp), "upsert-rows")
+        self.quantiser  # loaded before the jobs that share it
         self._commit("upsert", fresh, fresh, lambda: self._write_segment(fresh))
         if sum(1 for s in self.segments if s.rows) > MERGE_FROM:
             self.merge()

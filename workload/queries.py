@@ -36,7 +36,7 @@ _QUERIES: dict[str, Query] = {}
 
 SEARCH_K = 10
 # Rows of a cell of the stored indexes, on average.
-CELL_ROWS = 250
+CELL_ROWS = 100
 RADIUS_M = 150_000.0
 
 
