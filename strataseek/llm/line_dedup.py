@@ -15,7 +15,7 @@ size allows, and else joined by document.
 Null texts, and rows without doc_id, pass unchanged; an empty text is one empty line and stays. Rows
 with one doc_id are told apart by their text; equal rows count as one document, so both keep what
 one keeps. All columns of the input, whatever their names, come back with ``text`` replaced, and
-``lines_removed`` is added. A text of which nothing is left is empty, and its row stays.
+``lines_removed`` is added, or replaced if there is one. A text of which nothing is left is empty, and its row stays.
 
 Boundaries are sparse, so those chunks find only part of the repeated passages. ``dedup_runs`` finds all:
 every window of ``LEAST_LINES`` consecutive lines is a chunk, windows are grouped by hash, and a line goes if
@@ -37,6 +37,7 @@ from strataseek.session import cut_lineage, fits_broadcast
 
 DIVISOR = 3
 LEAST_LINES = 2
+REMOVED = "lines_removed"
 # Fixed values of the rolling hash.
 HASH_DIGITS, FOLD, WEIGHT = 12, 1000003, 31
 
@@ -77,6 +78,20 @@ def _usable(documents: DataFrame) -> DataFrame:
         F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__row"), "text")
 
 
+def _packed(documents: DataFrame) -> DataFrame:
+    """doc_id, text, and all other columns in one struct, so that none meets a name used here."""
+    others = [F.col(f"`{c}`") for c in documents.columns if c not in ("doc_id", "text")]
+    return documents.select("doc_id", "text", F.struct(*others, F.lit(0).alias("__none")).alias("__others"))
+
+
+def _unpacked(rows: DataFrame, columns: list[str], text: Column, removed: Column) -> DataFrame:
+    """The columns as they were, with the new text; ``lines_removed`` takes the place of a column of that name."""
+    back = {"text": F.col("__new").alias("text"), "doc_id": F.col("doc_id")}
+    done = rows.select("doc_id", "__others", text.alias("__new"), removed.cast("long").alias("__removed"))
+    return done.select(*[back[c] if c in back else F.col("__others").getField(c).alias(c) for c in columns if c != REMOVED],
+                       F.col("__removed").alias(REMOVED))
+
+
 def repeated_chunks(documents: DataFrame) -> DataFrame:
     """__doc, __row, __gone (places of the removed chunks) of every document that loses some."""
     chunks = (_with_chunks(_usable(documents))
@@ -104,15 +119,13 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     gone = repeated_chunks(documents)
     if fits_broadcast(gone, F.size("__gone") * 4 + 64):
         gone = F.broadcast(gone)
-    columns = documents.columns
-    rows = documents.join(gone, (F.col("doc_id") == F.col("__doc")) & (F.xxhash64("text") == F.col("__row")), "left")
+    rows = _packed(documents).join(gone, (F.col("doc_id") == F.col("__doc")) & (F.xxhash64("text") == F.col("__row")), "left")
     rows = _with_chunks(rows.withColumn("text", F.col("text")))
     kept = F.array_except(F.sequence(F.lit(0), F.size("__ends") - 1), F.col("__gone"))
     removed = F.aggregate(F.col("__gone"), F.lit(0), lambda total, k: total + F.get(F.col("__ends"), k) - _start(k) + 1)
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(kept, _chunk_text), "\n"))
-    return rows.select(*[text.alias("text") if c == "text" else F.col(c) for c in columns],
-                       F.coalesce(removed, F.lit(0)).cast("long").alias("lines_removed"))
+    return _unpacked(rows, documents.columns, text, F.coalesce(removed, F.lit(0)))
 
 
 def line_report(documents: DataFrame) -> DataFrame:
@@ -173,15 +186,13 @@ def repeated_runs(documents: DataFrame) -> DataFrame:
 
 def dedup_runs(documents: DataFrame) -> DataFrame:
     """The documents without any run of ``LEAST_LINES`` or more lines that stands earlier."""
-    columns = documents.columns
-    rows = _at_places(documents, repeated_runs(documents), F.size("__gone") * 4 + 64, "left")
+    rows = _at_places(_packed(documents), repeated_runs(documents), F.size("__gone") * 4 + 64, "left")
     rows = _hold(rows.withColumn("text", F.col("text")), "__lines", F.split(F.col("text"), "\n", -1))
     kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(kept, lambda k: F.get(F.col("__lines"), k)), "\n"))
     removed = F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone"))
-    return rows.select(*[text.alias("text") if c == "text" else F.col(c) for c in columns],
-                       removed.cast("long").alias("lines_removed"))
+    return _unpacked(rows, documents.columns, text, removed)
 
 
 def runs_report(documents: DataFrame) -> DataFrame:

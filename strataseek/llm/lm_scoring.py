@@ -15,7 +15,7 @@ as differences; counts and the texts of a batch travel compressed.
 
 Words are maximal runs of bytes other than space and 0x09-0x0D, A-Z as a-z. Texts without words
 (null or empty) have score 0. Rows without doc_id are scored and counted like any other; equal rows
-are different documents. ``op1_lm_scoring`` uses pairs (``ORDER`` 2), ``op1_lm_scoring_trigrams`` ``TRIGRAMS``.
+are different documents. ``op1_lm_scoring`` uses ``TRIGRAMS``, ``op1_lm_scoring_pairs`` pairs (``ORDER`` 2).
 """
 
 from __future__ import annotations

@@ -30,11 +30,14 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score_report(read(spark, sf_dir, "documents"))
+    return lm_scoring.score_report(read(spark, sf_dir, "documents"), lm_scoring.TRIGRAMS)
 
 
-def op1_lm_scoring_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score_report(read(spark, sf_dir, "documents"), lm_scoring.TRIGRAMS)
+op1_lm_scoring_trigrams = op1_lm_scoring
+
+
+def op1_lm_scoring_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_report(read(spark, sf_dir, "documents"))
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,11 +72,14 @@ def op9_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(read(spark, sf_dir, "documents"))
+    return line_dedup.runs_report(read(spark, sf_dir, "documents"))
 
 
-def op10_repeated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.runs_report(read(spark, sf_dir, "documents"))
+op10_repeated_runs = op10_line_dedup
+
+
+def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(read(spark, sf_dir, "documents"))
 
 
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +100,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_lm_scoring": lm_scoring.ORACLE, "op1_lm_scoring_trigrams": lm_scoring.TRIGRAM_ORACLE,
-            "op4_decontamination": decontamination.ORACLE,
-            "op10_line_dedup": line_dedup.ORACLE, "op10_repeated_runs": line_dedup.RUNS_ORACLE,
-            "op11_merkle_manifest": merkle_manifest.ORACLE}
+    return {"op1_lm_scoring": lm_scoring.TRIGRAM_ORACLE, "op1_lm_scoring_trigrams": lm_scoring.TRIGRAM_ORACLE,
+            "op1_lm_scoring_pairs": lm_scoring.ORACLE, "op4_decontamination": decontamination.ORACLE,
+            "op10_line_dedup": line_dedup.RUNS_ORACLE, "op10_repeated_runs": line_dedup.RUNS_ORACLE,
+            "op10_line_chunks": line_dedup.ORACLE, "op11_merkle_manifest": merkle_manifest.ORACLE}

@@ -61,3 +61,16 @@ def test_chunks_alone_leave_repeated_runs(spark):
 
 def test_empty_table(nothing):
     assert line_dedup.runs_report(nothing).count() == 0
+
+
+@pytest.mark.parametrize("name", ["dedup_lines", "dedup_runs"])
+def test_names_of_columns_do_not_matter(spark, name):
+    rows = [(1, "a a\nb b\nc c"), (2, "a a\nb b\nc c"), (3, "x")]
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    taken = {c: F.lit(c) for c in ("__gone", "__doc", "__row", "__lines", "__ends", "__others", "lines_removed", "__key", "a.b")}
+    dedup = getattr(line_dedup, name)
+    found = dedup(plain.withColumns(taken))
+    assert sorted(found.columns) == sorted(["doc_id", "text", *taken])
+    assert sorted((r.doc_id, r.text, r.lines_removed) for r in found.collect()) == \
+        sorted((r.doc_id, r.text, r.lines_removed) for r in dedup(plain).collect())
+    assert all(r[c] == c for r in found.collect() for c in taken if c != "lines_removed")
