@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -63,6 +63,7 @@ class TermScan:
     ids: list
     id_type: T.DataType
     scorer: Scorer
+    hits: Column | None = None
 
 
 def bm25_scan(rows: DataFrame, queries: DataFrame, key: str = "chunk_id", query_id: str = "query_id",
@@ -115,7 +116,7 @@ def bm25_scan(rows: DataFrame, queries: DataFrame, key: str = "chunk_id", query_
               .filter(F.size("hits") > 0))
     if not vocabulary:
         corpus = corpus.filter(F.lit(False))
-    return TermScan(corpus, [r.query_id for r in wanted], queries.schema[query_id].dataType, scorer)
+    return TermScan(corpus, [r.query_id for r in wanted], queries.schema[query_id].dataType, scorer, hits)
 
 
 def bm25_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, key: str = "chunk_id",

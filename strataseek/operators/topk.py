@@ -56,11 +56,12 @@ class BestRows:
         self.k = k
         self.floor = np.full(queries, -np.inf)
         self.held = pa.table({"query": pa.array([], pa.int32()), "score": pa.array([], pa.float64()),
-                              "key": pa.array([], key_type)})
+                              "key": pa.array([], key_type), "other": pa.array([], pa.float64())})
 
-    def offer(self, queries: np.ndarray, scores: np.ndarray, keys: pa.Array) -> None:
-        """Pairs of a query number and a row; scores are significant digits already."""
-        more = pa.table({"query": pa.array(queries, pa.int32()), "score": scores, "key": keys})
+    def offer(self, queries: np.ndarray, scores: np.ndarray, keys: pa.Array, other: np.ndarray | None = None) -> None:
+        """Pairs of a query number and a row; scores are significant digits already. ``other`` stays with its pair."""
+        more = pa.table({"query": pa.array(queries, pa.int32()), "score": scores, "key": keys,
+                         "other": np.full(len(scores), np.nan) if other is None else other})
         table = pa.concat_tables([self.held, more])
         table = table.take(pc.sort_indices(table, sort_keys=[
             ("query", "ascending"), ("score", "descending"), ("key", "ascending")]))
@@ -71,7 +72,7 @@ class BestRows:
         self.floor[query[last]] = table.column("score").to_numpy()[last]
 
     def offer_matrix(self, batch: pa.RecordBatch, rows: np.ndarray, queries: np.ndarray,
-                     scores: np.ndarray, refine: Refiner | None) -> None:
+                     scores: np.ndarray, refine: Refiner | None, other: np.ndarray | None = None) -> None:
         """All queries of a block at once: only rows that can be among the best are ordered."""
         scores = np.where(np.isfinite(scores), scores, -np.inf)
         limit = self.floor[queries]
@@ -81,7 +82,8 @@ class BestRows:
         row, column = np.nonzero((scores >= limit - slack) & (scores > -np.inf))
         if len(row):
             found = scores[row, column] if refine is None else refine(batch, rows[row], queries[column])
-            self.offer(queries[column], significant(found), batch.column(0).take(pa.array(rows[row])))
+            self.offer(queries[column], significant(found), batch.column(0).take(pa.array(rows[row])),
+                       None if other is None else other[row, column])
 
 
 def _result_schema(corpus: DataFrame, query_type: T.DataType) -> T.StructType:
@@ -116,91 +118,6 @@ def scan_top_k(corpus: DataFrame, scorer: Scorer, query_ids: list, query_type: T
     return rank_rows(corpus.mapInArrow(run, schema), key, k)
 
 
-def scan_scores(corpus: DataFrame, scorer: Scorer, query_ids: list, query_type: T.DataType,
-                wanted: DataFrame, refine: Refiner | None = None) -> DataFrame:
-    """``query_id, <key>, score`` of the pairs ``wanted`` (query_id, <key>) that are candidates.
-
-    ``wanted`` is bounded by the query batch and its list length and is broadcast.
-    """
-    schema = _result_schema(corpus, query_type)
-    key = corpus.columns[0]
-    number = {q: i for i, q in enumerate(query_ids)}
-    pairs = wanted.select("query_id", key).toArrow()
-    asked: dict = {}
-    for q, name in zip(pairs.column(0).to_pylist(), pairs.column(1).to_pylist()):
-        asked.setdefault(name, []).append(number[q])
-
-    def run(batches):
-        for batch in batches:
-            names = batch.column(0).to_pylist()
-            for rows, columns, scores in scorer(batch):
-                spot = {q: j for j, q in enumerate(columns.tolist())}
-                hits = [(i, r, spot[q], q) for i, r in enumerate(rows.tolist()) if names[r] in asked
-                        for q in asked[names[r]] if q in spot]
-                if hits:
-                    i, r, j, q = (np.array(x) for x in zip(*hits))
-                    found = scores[i, j]
-                    good = np.isfinite(found)
-                    if refine is not None and good.any():
-                        found[good] = refine(batch, r[good], q[good])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([query_ids[x] for x in q[good]], to_arrow_type(query_type)),
-                         batch.column(0).take(pa.array(r[good])), pa.array(significant(found[good]))],
-                        names=["query_id", key, "score"])
-
-    names = F.broadcast(wanted.select(key).distinct())
-    return corpus.join(names, key, "left_semi").select(*corpus.columns).mapInArrow(run, schema)
-
-
-def scan_ranks(corpus: DataFrame, scorer: Scorer, query_ids: list, query_type: T.DataType,
-               scored: DataFrame, refine: Refiner | None = None) -> DataFrame:
-    """Add ``rank`` to ``scored`` (query_id, <key>, score): one more than the rows that beat it.
-
-    One pass counts, per task, the rows with a greater score or an equal one and a smaller key.
-    """
-    key = corpus.columns[0]
-    number = {q: i for i, q in enumerate(query_ids)}
-    held = scored.toArrow()
-    of_query: dict[int, list] = {}
-    for q, name, score in zip(*(held.column(c).to_pylist() for c in ("query_id", key, "score"))):
-        of_query.setdefault(number[q], []).append((score, name))
-    goals = {q: (np.array([s for s, _ in pairs]), [n for _, n in pairs])
-             for q, pairs in ((q, sorted(pairs)) for q, pairs in of_query.items())}
-    type_of = T.StructType([*_result_schema(corpus, query_type).fields, T.StructField("above", T.LongType())])
-
-    def run(batches):
-        above = {q: np.zeros(len(scores), np.int64) for q, (scores, _) in goals.items()}
-        for batch in batches:
-            for rows, columns, scores in scorer(batch):
-                for j, q in enumerate(columns.tolist()):
-                    if q not in goals:
-                        continue
-                    fine = np.flatnonzero(np.isfinite(scores[:, j]))
-                    mine = scores[fine, j] if refine is None else \
-                        refine(batch, rows[fine], np.full(len(fine), q))
-                    mine = significant(mine)
-                    values, names = goals[q]
-                    beaten = np.searchsorted(values, mine, side="left")
-                    above[q] += np.cumsum(np.bincount(beaten, minlength=len(values) + 1)[::-1])[::-1][1:]
-                    same = np.flatnonzero(np.isin(mine, values))
-                    for r, value in zip(batch.column(0).take(pa.array(rows[fine[same]])).to_pylist(),
-                                        mine[same].tolist()):
-                        low, high = np.searchsorted(values, value), np.searchsorted(values, value, side="right")
-                        for place in range(low, high):
-                            above[q][place] += r < names[place]
-        flat = [(query_ids[q], n, s, a) for q, (values, names) in goals.items()
-                for n, s, a in zip(names, values.tolist(), above[q].tolist())]
-        if flat:
-            columns = list(zip(*flat))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], to_arrow_type(query_type)), pa.array(columns[1], to_arrow_type(type_of[key].dataType)),
-                 pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.int64())],
-                names=["query_id", key, "score", "above"])
-
-    counted = corpus.mapInArrow(run, type_of)
-    return counted.groupBy("query_id", key, "score").agg((F.sum("above") + 1).cast("int").alias("rank"))
-
-
 def in_batches(queries: DataFrame, query_id: str, most: int, answer: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``answer`` of a query set of any size: batches of about ``most`` queries, each with its own scan."""
     total = queries.count()

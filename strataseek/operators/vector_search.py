@@ -62,6 +62,8 @@ class VectorScan:
     id_type: T.DataType
     scorer: Scorer
     refine: Refiner | None
+    columns: tuple[str, ...] = ()
+    dim: int = 0
 
 
 def _batch(queries: DataFrame, query_id: str, vector: str) -> tuple[list, np.ndarray]:
@@ -96,7 +98,7 @@ def exact_scan(corpus: DataFrame, queries: DataFrame, metric: str = "cosine", ke
             yield part, every, score_matrix(values[part], wanted, metric)
 
     return VectorScan(_usable(corpus.select(key, vector), vector, dim), ids,
-                      queries.schema[query_id].dataType, scorer, _refiner(wanted, dim, metric))
+                      queries.schema[query_id].dataType, scorer, _refiner(wanted, dim, metric), (vector,), dim)
 
 
 def _top_k(scan: VectorScan, k: int) -> DataFrame:
@@ -184,7 +186,7 @@ def cell_scan(rows: DataFrame, batch: VectorBatch, cells: int, metric: str = "co
 
     probed = rows.filter(F.col(cell).isin(used)) if len(used) < cells else rows
     return VectorScan(_usable(probed.select(key, vector, cell), vector, dim), batch.ids,
-                      batch.id_type, scorer, _refiner(wanted, dim, metric))
+                      batch.id_type, scorer, _refiner(wanted, dim, metric), (vector, cell), dim)
 
 
 def cell_top_k(rows: DataFrame, batch: VectorBatch, cells: int, k: int, metric: str = "cosine",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from strataseek.functions.text import preview
 from strataseek.functions.vectors import hashing_embedding
 from strataseek.operators.fulltext import bm25_scan, bm25_top_k, corpus_size, normalise_scores
-from strataseek.operators.hybrid import complete_list, count_keyword_matches, fuse_ranks, list_depth
+from strataseek.operators.hybrid import count_keyword_matches, pairs_per_query, threshold_top_k
 from strataseek.operators.segment_index import SegmentIndex
 from strataseek.operators.topk import MAX_QUERY_ROWS, in_batches
 from strataseek.operators.vector_search import exact_scan, exact_top_k, ivf_scan, ivf_top_k
@@ -22,8 +22,8 @@ from strataseek.session import cut_lineage, fits_broadcast, held_locally
 METHODS = ("ANN", "Full-Text", "Hybrid")
 # Result lists up to this length are looked up by key.
 LOOKUP_ROWS = 1000
-# Queries of one hybrid batch: its lists of candidates are held by every task.
-HYBRID_QUERIES = 1024
+# Rows of both lists of one hybrid batch at most: the tasks of its second scan hold them.
+HYBRID_PAIRS = 200_000
 RESULT_COLUMNS = ["query_id", "method", "rank", "chunk_id", "file_name", "text", "score"]
 
 
@@ -70,14 +70,7 @@ def keyword_list(index: SearchIndex, queries: DataFrame, k: int) -> DataFrame:
 
 
 def hybrid_list(index: SearchIndex, queries: DataFrame, k: int) -> DataFrame:
-    """The k best rows by fused rank, as if both lists were complete.
-
-    Lists of :func:`list_depth` rows hold every possible result; a row that one of them lacks gets
-    its true rank there by a counting scan.
-    """
-    depth = list_depth(k)
-    vectors = cut_lineage(vector_list(index, queries, depth), "vector-list")
-    words = cut_lineage(keyword_list(index, queries, depth), "keyword-list")
+    """The k best rows by fused rank, as if both lists were complete (:func:`threshold_top_k`)."""
     if index.centroids is not None and index.probes is not None:
         by_vector = ivf_scan(index.rows, index.centroids, queries, index.probes)
     else:
@@ -86,7 +79,7 @@ def hybrid_list(index: SearchIndex, queries: DataFrame, k: int) -> DataFrame:
     if by_word is None:  # too many different terms for one scan: fewer queries at a time
         half = max(1, queries.count() // 2)
         return in_batches(queries, "query_id", half, lambda part: hybrid_list(index, part, k))
-    return fuse_ranks(complete_list(by_vector, vectors, words), complete_list(by_word, words, vectors), k)
+    return threshold_top_k(index.rows, by_vector, by_word, k)
 
 
 def search(index: SearchIndex, queries: DataFrame, query_type: str = "ANN",
@@ -111,7 +104,7 @@ def search(index: SearchIndex, queries: DataFrame, query_type: str = "ANN",
     elif kind == "FULL_TEXT":
         found = normalise_scores(keyword_list(index, queries, num_results))
     else:
-        found = in_batches(queries, "query_id", HYBRID_QUERIES,
+        found = in_batches(queries, "query_id", max(1, HYBRID_PAIRS // pairs_per_query(num_results)),
                            lambda part: hybrid_list(index, part, num_results))
     keywords = kind == "HYBRID" and "keywords" in queries.columns
     stored = tuple(dict.fromkeys([*columns, *(["chunk_text"] if keywords else [])]))
