@@ -391,6 +391,13 @@ _RECALL = sql(f"""
     GROUP BY e.query_id""")
 
 
+_LSH_RECALL = sql(f"""
+    SELECT e.query_id, ROUND(COUNT(a.chunk_id) / COUNT(*)::DOUBLE, 6) AS recall
+    FROM ({_topk(_COSINE)}) e
+    LEFT JOIN ({_topk(_COSINE, _IN_BUCKET, "vec_buckets", "query_buckets")}) a USING (query_id, chunk_id)
+    GROUP BY e.query_id""")
+
+
 def _pivot(value: str, digits: int, source: str, *needs: str) -> str:
     cells = ", ".join(f"ROUND(AVG({value}) FILTER (method = '{m}'), {digits}) AS \"{m}\""
                       for m in ("ANN", "Full-Text", "Hybrid"))
@@ -463,6 +470,7 @@ def all_oracles() -> dict[str, str]:
         "paper_render_text": sql(
             f"SELECT query, paper_id, {_RENDERED} AS content FROM pj", "pj"),
         "extract_abstract": sql("SELECT query, paper_id, abstract FROM pj", "pj"),
+        "extract_model_hook": sql("SELECT query, paper_id, abstract FROM pj", "pj"),
         "ingest_summary": sql("""
             SELECT query, '20240101_000000' AS timestamp, hit_count AS total_available,
                    COUNT(*) OVER (PARTITION BY query) AS papers_downloaded, paper_id,
@@ -763,6 +771,7 @@ def all_oracles() -> dict[str, str]:
         "vector_topk_ivf_all_cells": _topk(_COSINE),
         "vector_topk_lsh": _topk(_COSINE, _IN_BUCKET, "vec_buckets", "query_buckets"),
         "ann_recall": _RECALL,
+        "lsh_recall": _LSH_RECALL,
         # -------------------------------------------------------- search
         "query_set": sql("SELECT query_id, query, array_to_string(keywords, '|') AS keywords, "
                          "category FROM qs", "qs"),
@@ -778,6 +787,9 @@ def all_oracles() -> dict[str, str]:
         "fulltext_normalized": sql("""
             SELECT query_id, chunk_id, ROUND(score, 6) AS score, rank,
                    ROUND(normalized_score, 6) AS normalized_score FROM ft_norm""", "ft_norm"),
+        "fulltext_with_vector": sql("""
+            SELECT query_id, chunk_id, ROUND(score, 6) AS score, rank,
+                   ROUND(normalized_score, 6) AS normalized_score FROM ft_norm""", "ft_norm"),
         "hybrid_rrf": sql("""
             SELECT query_id, chunk_id, ROUND(score, 6) AS score,
                    ROUND(vector_score, 6) AS vector_score,

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from strataseek.functions import geo, text, wkb
 from strataseek.functions.sql import register_sql_functions
 from strataseek.operators import index_table, quantiser
-from strataseek.operators.embed import embed_hashing, embed_with_model
+from strataseek.operators.embed import embed_hashing, embed_with_model, extract_with
 from strataseek.operators.fulltext import bm25_top_k, document_frequency, normalise_scores
 from strataseek.operators.segment_index import create_index, open_index
 from strataseek.operators.spatial_join import (points_per_polygon, polygon_intersects_join,
@@ -230,6 +230,19 @@ def extract_abstract(spark, sf_dir):
                            papers.extract_abstract("content").alias("abstract"))
 
 
+@query
+def extract_model_hook(spark, sf_dir):
+    """The abstracts again, through the hook for a text-to-text model (Y4)."""
+    def load_model():
+        def model(contents):
+            parts = (c.partition("\nABSTRACT:\n")[2].rpartition("\n\n---\n")[0] for c in contents)
+            return list(parts)
+        return model
+
+    rendered = papers.render_paper(_papers(spark, sf_dir))
+    return extract_with(rendered, load_model, "content", "abstract").select("query", "paper_id", "abstract")
+
+
 @query
 def ingest_summary(spark, sf_dir):
     summary = papers.ingest_summary(_papers(spark, sf_dir), "20240101_000000")
@@ -805,6 +818,13 @@ def ann_recall(spark, sf_dir):
     return flat(recall_at_k(_ivf(spark, sf_dir, probes=4), exact, SEARCH_K), 6)
 
 
+@query
+def lsh_recall(spark, sf_dir):
+    exact = exact_top_k(fx.vector_rows(spark, sf_dir), fx.label_queries(spark, sf_dir), SEARCH_K)
+    rows = with_buckets(fx.vector_rows(spark, sf_dir).select("chunk_id", "embedding"), 64)
+    return flat(recall_at_k(lsh_top_k(rows, fx.label_queries(spark, sf_dir), SEARCH_K), exact, SEARCH_K), 6)
+
+
 # ---------------------------------------------------------------- search
 
 @query
@@ -840,6 +860,13 @@ def fulltext_normalized(spark, sf_dir):
         index.rows, fx.query_set(spark, sf_dir), SEARCH_K, lexicon=index.lexicon)), 6)
 
 
+@query
+def fulltext_with_vector(spark, sf_dir):
+    """A full-text call that also carries a vector: the vector is ignored (V15)."""
+    found = search(search_index(spark, sf_dir), search_queries(spark, sf_dir), "FULL_TEXT", SEARCH_K, columns=())
+    return flat(found, 6)
+
+
 @query
 def hybrid_rrf(spark, sf_dir):
     found = search(search_index(spark, sf_dir), search_queries(spark, sf_dir), "HYBRID",
