@@ -272,6 +272,44 @@ def st_distance_planar(a: Column | str, b: Column | str) -> Column:
     return F.sqrt(F.pow(a["x"] - b["x"], F.lit(2.0)) + F.pow(a["y"] - b["y"], F.lit(2.0)))
 
 
+def _edge_gap(e: Column, x: Column, y: Column) -> Column:
+    """Squared distance of a point from a segment: from the foot of the perpendicular, or the nearer end."""
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    length = dx * dx + dy * dy
+    at = F.when(length == 0, F.lit(0.0)).otherwise(
+        F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((x - e["x1"]) * dx + (y - e["y1"]) * dy) / length)))
+    gx, gy = x - (e["x1"] + at * dx), y - (e["y1"] + at * dy)
+    return gx * gx + gy * gy
+
+
+def edges_distance(edges: Column | str, x: Column | str, y: Column | str) -> Column:
+    """Planar distance of a point from a polygon; 0 inside and on the boundary, null for an empty polygon."""
+    e, x, y = _column(edges), _column(x), _column(y)
+    nearest = F.sqrt(F.array_min(F.transform(e, lambda s: _edge_gap(s, x, y))))
+    return F.when(edges_touch(e, x, y), F.when(F.size(e) > 0, F.lit(0.0))).otherwise(nearest)
+
+
+def polygons_distance(edges_a: Column, starts_a: Column, edges_b: Column, starts_b: Column) -> Column:
+    """Planar distance of two polygons: 0 where they meet, else the least from a corner of one to an edge of the other."""
+    def corners(own: Column, other: Column) -> Column:
+        return F.array_min(F.transform(own, lambda p: F.array_min(F.transform(other, lambda e: _edge_gap(e, p["x1"], p["y1"])))))
+
+    apart = F.sqrt(F.least(corners(edges_a, edges_b), corners(edges_b, edges_a)))
+    return F.when(polygons_meet(edges_a, starts_a, edges_b, starts_b), F.lit(0.0)).otherwise(apart)
+
+
+def st_distance_polygon(polygon_wkt: Column | str, point: Column | str) -> Column:
+    """Planar distance of a point from POLYGON / MULTIPOLYGON text."""
+    p = _column(point)
+    return let(st_edges(st_rings(polygon_wkt)), lambda e: edges_distance(e, p["x"], p["y"]))
+
+
+def st_distance_polygons(a_wkt: Column | str, b_wkt: Column | str) -> Column:
+    """Planar distance of two polygons given as text."""
+    return let(st_rings(a_wkt), lambda a: let(st_rings(b_wkt), lambda b: polygons_distance(
+        st_edges(a), part_starts(a), st_edges(b), part_starts(b))))
+
+
 def sphere_distance(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     """Great-circle distance in metres (haversine)."""
     h = (F.pow(F.sin(F.radians(lat2 - lat1) / 2), F.lit(2.0))

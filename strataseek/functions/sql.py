@@ -100,6 +100,12 @@ _FUNCTIONS: list[tuple[str, str, str, str]] = [
      "geo_on_edge(geo_edges(geo_rings(polygon)), geo_point(point))"),
     ("st_distance", "a STRING, b STRING", "DOUBLE",
      "sqrt(pow(st_x(a) - st_x(b), 2) + pow(st_y(a) - st_y(b), 2))"),
+    ("geo_gap", f"edges {_EDGES}, p {_POINT}", "DOUBLE",
+     "sqrt(array_min(transform(transform(edges, e -> named_struct('e', e, 't', greatest(0D, least(1D, coalesce(try_divide("
+     "(p.x - e.x1) * (e.x2 - e.x1) + (p.y - e.y1) * (e.y2 - e.y1), pow(e.x2 - e.x1, 2) + pow(e.y2 - e.y1, 2)), 0D))))), "
+     "s -> pow(p.x - (s.e.x1 + s.t * (s.e.x2 - s.e.x1)), 2) + pow(p.y - (s.e.y1 + s.t * (s.e.y2 - s.e.y1)), 2))))"),
+    ("st_distance_polygon", "polygon STRING, point STRING", "DOUBLE",
+     "CASE WHEN st_intersects(polygon, point) THEN 0D ELSE geo_gap(geo_edges(geo_rings(polygon)), geo_point(point)) END"),
     ("st_distance_sphere", "a STRING, b STRING", "DOUBLE",
      f"{2 * EARTH_RADIUS_M}D * asin(least(1D, sqrt("
      "pow(sin(radians(st_y(b) - st_y(a)) / 2), 2) + cos(radians(st_y(a))) "

@@ -669,6 +669,19 @@ def all_oracles() -> dict[str, str]:
                    AS distance
             FROM own_cell o LEFT JOIN state_centres c ON o.state_fips = c.state_fips""",
             "own_cell", "state_centres"),
+        "geo_distance_polygon": sql("""
+            SELECT event_id, ROUND(MIN(CASE WHEN x1 IS NOT NULL THEN
+                sqrt(pow(greatest(x1 - longitude, 0, longitude - x2), 2)
+                     + pow(greatest(y1 - latitude, 0, latitude - y2), 2)) END), 6) AS distance
+            FROM own_cell LEFT JOIN state_rects USING (state_fips) WHERE state_fips IS NOT NULL
+            GROUP BY event_id""", "own_cell", "state_rects"),
+        "nearest_states": sql("""
+            SELECT event_id, state_fips, ROUND(d, 6) AS distance, rank FROM (
+                SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY d, state_fips) AS rank FROM (
+                    SELECT event_id, state_fips, ROUND(MIN(sqrt(pow(greatest(x1 - longitude, 0, longitude - x2), 2)
+                        + pow(greatest(y1 - latitude, 0, latitude - y2), 2))), 9) AS d
+                    FROM ev, state_rects GROUP BY event_id, state_fips))
+            WHERE rank <= 3""", "ev", "state_rects"),
         "geo_distance_sphere": sql(f"""
             SELECT event_id, ROUND({_SPHERE.format('longitude', 'latitude', 'cx', 'cy')}, 3)
                    AS distance_m

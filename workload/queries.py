@@ -16,6 +16,7 @@ from strataseek.functions.sql import register_sql_functions
 from strataseek.operators import index_table, quantiser
 from strataseek.operators.embed import embed_hashing, embed_with_model, extract_with
 from strataseek.operators.fulltext import bm25_top_k, document_frequency, normalise_scores
+from strataseek.operators.nearest_polygons import nearest_polygons
 from strataseek.operators.segment_index import create_index, open_index
 from strataseek.operators.spatial_join import (points_per_polygon, polygon_intersects_join,
                                                polygon_left_join, with_polygon_id,
@@ -630,6 +631,21 @@ def geo_distance_planar(spark, sf_dir):
         geo.st_distance_planar("point", "centroid"), 6).alias("distance"))
 
 
+@query
+def geo_distance_polygon(spark, sf_dir):
+    """Distance of every event from the state of its grid cell, which need not hold it."""
+    states = fx.states_raw(spark, sf_dir).select("state_fips", "geometry_wkt")
+    events = _own_cell(spark, sf_dir).select("event_id", "state_fips", "point").join(states, "state_fips")
+    return events.select("event_id", F.round(geo.st_distance_polygon("geometry_wkt", "point"), 6).alias("distance"))
+
+
+@query
+def nearest_states(spark, sf_dir):
+    """The three states nearest to every event."""
+    found = nearest_polygons(silver_events_table(spark, sf_dir), fx.states_raw(spark, sf_dir), 3, "event_id", "state_fips")
+    return flat(found, 6)
+
+
 @query
 def geo_distance_sphere(spark, sf_dir):
     return _event_centroid(spark, sf_dir).select("event_id", F.round(
