@@ -194,6 +194,25 @@ def with_bytes(documents: DataFrame, *more: str | Column) -> DataFrame:
                             F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), *more)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` less the columns that an operator is about to add."""
+    gone = {n.lower() for n in names}
+    return df.select(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c.lower() not in gone])
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with columns c0, c1, ..: ``mapInArrow`` takes no names with a dot."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def splits(df: DataFrame) -> int:
     """Number of input splits: a measure of size that needs no job."""
     return max(1, df.rdd.getNumPartitions())

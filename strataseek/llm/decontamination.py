@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataseek.llm.common import (buffers, gram_hashes, runs_by, shingle_sets, slices, with_bytes,
+from strataseek.llm.common import (buffers, free_name, gram_hashes, runs_by, shingle_sets, slices, with_bytes,
                                    word_hashes)
 
 SHINGLE = 5
@@ -226,8 +226,9 @@ def contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 def decontaminate(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no test item; rows without doc_id stay."""
-    hit = contaminated(documents, items).select(F.col("doc_id").alias("__hit")).distinct()
-    return documents.join(hit, F.col("doc_id").cast("long") == F.col("__hit"), "left_anti")
+    key = free_name(documents, "__hit")
+    hit = contaminated(documents, items).select(F.col("doc_id").alias(key)).distinct()
+    return documents.join(hit, F.col("doc_id").cast("long") == F.col(key), "left_anti")
 
 
 #: DuckDB SQL for doc_id, item_id, n_shared and n_shingles: every shingle of every passage, by brute force.

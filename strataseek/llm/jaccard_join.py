@@ -7,7 +7,8 @@ Two documents link when the sets of their five-word shingles have a Jaccard simi
    which of its tokens occur in more than one document. A document needs ``PERCENT`` of its tokens
    to be shared; in most corpora few documents have that. Each bucket gets a token once per batch of
    documents, however many of them hold it.
-2. *Classes.* Equal sets become one class; its smallest doc_id stands for it from here on.
+2. *Classes.* Equal sets become one class; its smallest doc_id stands for it from here on, or a negative
+   number from its fingerprint when that doc_id has several texts and stands for another of them.
 3. *Prefix.* A document's tokens are ordered by how many classes hold them; linked documents share
    one of their ``n - ceil(n * PERCENT / 100) + 1`` rarest.
 4. *Stars.* Documents with one min-hash are compared with the most central of them, for two hash
@@ -26,8 +27,8 @@ Token comparisons use 64-bit hashes; step 1 uses 32 bits of them besides the buc
 there only lets a document through to the next step.
 
 Null and empty texts have an empty set and link with nothing. Rows without doc_id are left out.
-Rows that repeat a doc_id give one row each; if their texts differ, the one with the smallest
-fingerprint of its set stands for that doc_id. Empty tables give empty results. Only doc_id and
+Rows that repeat a doc_id give one row each; if their texts differ, each of its sets has its own links and
+joins what they link. Empty tables give empty results. Only doc_id and
 text are read, so other columns cannot clash.
 """
 
@@ -41,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataseek.llm.common import (bucket_count, buffers, cut_lineage, runs_by, shingle_sets, slices,
+from strataseek.llm.common import (bucket_count, buffers, cut_lineage, free_name, runs_by, shingle_sets, slices,
                                    with_bytes, word_hashes)
 from strataseek.llm.components import components
 from strataseek.operators.skew import balanced_join
@@ -93,7 +94,7 @@ def shared_counts(documents: DataFrame) -> DataFrame:
                     out["counts"].append(sizes.astype(np.int32).tobytes())
             n = len(out["bucket"])
             yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array([*out["bucket"], 0], pa.int32()),
+                "bucket": pa.array([*out["bucket"], (task + chunk) % n_buckets], pa.int32()),
                 "chunk": pa.array(np.full(n + 1, task << 24 | chunk)),
                 "tokens": pa.array([*out["tokens"], None], pa.binary()),
                 "rows": pa.array([*out["rows"], batch.column("doc_id").to_numpy().tobytes()], pa.binary()),
@@ -287,20 +288,28 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     likely = counted.filter(f"n_shingles > 0 and 100 * n_shared >= {PERCENT} * n_shingles").select("doc_id").distinct()
     likely = F.broadcast(likely) if fits_broadcast(likely, F.lit(24)) else likely
     sets = cut_lineage(_with_sets(texts.join(likely, "doc_id", "left_semi")).filter("n > 0"), "shingle-sets")
-    classes = cut_lineage(
-        sets.groupBy("doc_id").agg(F.min("print").alias("print")).join(
-            sets.groupBy("print").agg(F.min("doc_id").alias("rep")), "print").select("doc_id", "rep"), "set-classes")
-    reps = classes.select(F.col("rep").alias("doc_id")).distinct()
-    rep_sets = cut_lineage(sets.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "class-sets")
+    prints = sets.groupBy("print").agg(F.min("doc_id").alias("first"))
+    owners = prints.groupBy("first").agg(F.min("print").alias("own"))
+    prints = cut_lineage(prints.join(owners, "first").select("print", "first", F.when(
+        F.col("print") == F.col("own"), F.col("first")).otherwise(
+        -1 - F.shiftrightunsigned(F.xxhash64("print"), 1)).alias("class")), "set-prints")
+    classes = cut_lineage(balanced_join(sets.select("doc_id", "print"), prints.select("print", "class"), ["print"],
+                                        ["doc_id"], F.lit(40)).select("doc_id", "class").distinct(), "set-classes")
+    rep_sets = cut_lineage(sets.join(prints.withColumnRenamed("first", "doc_id"), ["print", "doc_id"])
+                           .dropDuplicates(["print"]).select(F.col("class").alias("doc_id"), "n", "tokens"), "class-sets")
     docs = cut_lineage(_prefixes(rep_sets), "set-prefixes")
     stars = _star_links(docs, rep_sets)
     first = components(stars, "star-components")
     docs = docs.join(first, docs["doc_id"] == first["v"], "left").withColumn(
         "comp", F.coalesce("label", "doc_id")).drop("v", "label")
-    links = stars.unionAll(_matrix_links(docs, rep_sets))
-    last = components(links, "link-components")
-    named = classes.join(last, classes["rep"] == last["v"], "left").select(
-        "doc_id", F.coalesce("label", "rep").alias("component"))
+    # the texts of one doc_id belong together
+    own = classes.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("z")).filter("a != z")
+    own = own.join(classes, "doc_id").select("a", F.col("class").alias("b"))
+    last = components(stars.unionAll(_matrix_links(docs, rep_sets)).unionAll(own), "link-components")
+    labelled = classes.join(last, classes["class"] == last["v"], "left").select(
+        "doc_id", F.coalesce("label", "class").alias("label")).distinct()
+    smallest = labelled.groupBy("label").agg(F.min("doc_id").alias("component"))
+    named = balanced_join(labelled, smallest, ["label"], ["doc_id"], F.lit(24)).select("doc_id", "component")
     return counted.select("doc_id", "n_shingles").join(named, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
@@ -311,5 +320,6 @@ def keep_first(documents: DataFrame) -> DataFrame:
     Rows without doc_id stay.
     """
     found = near_duplicates(documents.select("doc_id", "text"))
-    later = found.filter("component_id != doc_id").select(F.col("doc_id").alias("__later")).distinct()
-    return documents.join(later, F.col("doc_id").cast("long") == F.col("__later"), "left_anti")
+    key = free_name(documents, "__later")
+    later = found.filter("component_id != doc_id").select(F.col("doc_id").alias(key)).distinct()
+    return documents.join(later, F.col("doc_id").cast("long") == F.col(key), "left_anti")

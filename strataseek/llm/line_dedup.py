@@ -17,14 +17,18 @@ with one doc_id are told apart by their text; equal rows count as one document,
 one keeps. All columns of the input, whatever their names, come back with ``text`` replaced, and
 ``lines_removed`` is added, or replaced if there is one. A text of which nothing is left is empty, and its row stays.
 
-Boundaries are sparse, so those chunks find only part of the repeated passages. ``dedup_runs`` finds all:
-every window of ``LEAST_LINES`` consecutive lines is a chunk, windows are grouped by hash, and a line goes if
-any window over it stands earlier (doc_id, then place). The bytes are compared by counting the distinct
-texts of each repeated hash, so a text travels once per task; a hash with several is grouped again by text. Windows
-overlap, so a run that stands earlier goes whole wherever it starts and ends, and no line
-beside it goes. Each removed line has an equal line that is kept: the first window of its kind
-starts earlier, and so on down to a line that no later copy covers. Blank lines count as lines.
-Equal rows, nulls and columns are treated as above.
+Those chunks alone find only part of the repeated passages: a boundary depends on lines outside a passage,
+and a passage may start or end within a chunk. ``dedup_runs`` extends them to whole runs. The chunks carry
+the bulk: a chunk that repeats, byte for byte, goes whole wherever it stands later. What they leave is searched
+by windows of ``LEAST_LINES`` lines: those that cross a boundary, and those inside each distinct chunk at its
+first place. A window inside a later copy of a chunk stands in the first copy too, so no window is missed, and
+a line goes exactly if some window over it stands earlier (doc_id, then place): a run that
+stands earlier goes whole wherever it starts and ends, and no line beside it goes. Both kinds are grouped by hash
+and their bytes compared by counting the distinct texts of each repeated hash, so a text travels once per task. A
+chunk hash with several texts is left to the windows, a window hash with several is grouped again by text. Each
+removed line has an equal line that is kept: the first window of its kind starts earlier, and so on
+down to a line that no later copy covers. Blank lines count as lines. Equal rows, nulls and columns are
+treated as above.
 """
 
 from __future__ import annotations
@@ -151,36 +155,81 @@ def _at_places(rows: DataFrame, places: DataFrame, place_bytes: Column, how: str
     return rows.join(places, (F.col("doc_id") == F.col("__doc")) & (F.xxhash64("text") == F.col("__row")), how)
 
 
-def repeated_runs(documents: DataFrame) -> DataFrame:
-    """__doc, __row, __gone (places of the removed lines, ascending) of every document that loses some."""
-    lines = _hold(_usable(documents), "__lines", F.split(F.col("text"), "\n", -1)).filter(F.size("__lines") >= LEAST_LINES)
-    starts = F.sequence(F.lit(0), F.size("__lines") - LEAST_LINES)
-    windows = lines.select("__doc", "__row", F.posexplode(
-        F.transform(starts, lambda k: _window_key(_window(k)))).alias("__k", "__key"))
+def _pieces(documents: DataFrame) -> DataFrame:
+    """One row per chunk: __k (its first line), __n (lines), __key (hash, null for a single line) and
+    __windows, the hashes of the windows that start in it, the one across its end last."""
+    rows = _with_chunks(_usable(documents))
+    starts = F.filter(F.sequence(F.lit(0), F.size("__lines") - 1), lambda k: k <= F.size("__lines") - LEAST_LINES)
+    rows = _hold(rows, "__all", F.transform(starts, lambda k: _window_key(_window(k))))
+    pieces = F.transform("__ends", lambda end, k: F.struct(
+        _start(k).alias("k"), (end - _start(k) + 1).alias("n"),
+        F.when(end > _start(k), _window_key(_chunk_text(k))).alias("key"),
+        F.slice("__all", _start(k) + 1, end - _start(k) + 1).alias("w")))
+    return rows.select("__doc", "__row", F.explode(pieces).alias("__c")).select(
+        "__doc", "__row", F.col("__c.k").alias("__k"), F.col("__c.n").alias("__n"), F.col("__c.key").alias("__key"),
+        F.col("__c.w").alias("__windows"))
+
+
+def _occurrences(places: DataFrame, more: list[str], name: str) -> DataFrame:
+    """__doc, __row, __hits (__k, __key, ``more``, later) of the keys that stand at several places."""
     place = F.struct("__doc", "__k", "__row")
-    places = windows.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"), F.min(place).alias("__first"))
-    repeated = cut_lineage(places.filter("__n > 1").select("__key", "__first"), "repeated-windows")
-    hits = balanced_join(windows, repeated, ["__key"], ["__doc", "__row", "__k"], F.lit(64))
-    hits = cut_lineage(hits.groupBy("__doc", "__row").agg(F.collect_set(
-        F.struct("__k", "__key", (place != F.col("__first")).alias("later"))).alias("__hits")), "window-occurrences")
+    counted = places.groupBy("__key").agg(F.count(F.lit(1)).alias("__count"), F.min(place).alias("__first"))
+    repeated = cut_lineage(counted.filter("__count > 1").select("__key", "__first"), f"repeated-{name}")
+    hits = balanced_join(places, repeated, ["__key"], ["__doc", "__row", "__k"], F.lit(64))
+    return cut_lineage(hits.groupBy("__doc", "__row").agg(F.collect_set(
+        F.struct("__k", "__key", *more, (place != F.col("__first")).alias("later"))).alias("__hits")), f"{name}-occurrences")
+
 
-    # The bytes: a hash with one text is that text wherever it stands; other hashes are told apart by text.
+def _texts_of(documents: DataFrame, hits: DataFrame, n: Column) -> DataFrame:
+    """__doc, __row, __k, __key, __t: the ``n`` lines at the place of each hit."""
     usable = documents.filter("doc_id is not null and text is not null").select("doc_id", "text")
-    texts = _hold(_at_places(usable, hits, F.size("__hits") * 24 + 64, "inner"), "__lines", F.split(F.col("text"), "\n", -1))
-    texts = texts.select("__doc", "__row", "__lines", F.explode("__hits").alias("__h")).select(
-        "__doc", "__row", F.col("__h.__k"), F.col("__h.__key"), _window(F.col("__h.__k")).alias("__t"))
-    mixed = cut_lineage(texts.groupBy("__key", "__t").agg(F.lit(1).alias("__one")).groupBy("__key")
-                        .agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__key"), "mixed-windows")
+    rows = _hold(_at_places(usable, hits, F.size("__hits") * 28 + 64, "inner"), "__lines", F.split(F.col("text"), "\n", -1))
+    return rows.select("__doc", "__row", "__lines", F.explode("__hits").alias("__h")).select(
+        "__doc", "__row", F.col("__h.__k"), F.col("__h.__key"),
+        F.array_join(F.slice("__lines", F.col("__h.__k") + 1, n), "\n").alias("__t"))
+
+
+def _mixed(texts: DataFrame, name: str) -> DataFrame:
+    """The hashes that stand for several texts."""
+    return cut_lineage(texts.groupBy("__key", "__t").agg(F.lit(1).alias("__one")).groupBy("__key")
+                       .agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__key"), f"mixed-{name}")
+
+
+def repeated_runs(documents: DataFrame) -> DataFrame:
+    """__doc, __row, __gone (places of the removed lines, ascending) of every document that loses some."""
+    pieces = cut_lineage(_pieces(documents), "line-chunks")
+    chunks = _occurrences(pieces.filter("__key is not null").select("__doc", "__row", "__k", "__n", "__key"), ["__n"], "chunks")
+    mixed = _mixed(_texts_of(documents, chunks, F.col("__h.__n")), "chunks")
+    copies = chunks.select("__doc", "__row", F.explode("__hits").alias("__h")).filter("__h.later").select(
+        "__doc", "__row", F.col("__h.__k"), F.col("__h.__n"), F.col("__h.__key"))
+    if not mixed.isEmpty():
+        copies = copies.join(mixed, "__key", "left_anti")
+    copies = copies.select("__doc", "__row", "__k", "__n").distinct()
+    marks = copies.select("__doc", "__row", "__k", F.lit(True).alias("__copy"))
+    marks = F.broadcast(marks) if fits_broadcast(marks, F.lit(32)) else marks
+    inside = F.when(F.col("__copy"), F.col("__n") - 1).otherwise(0)
+    searched = pieces.join(marks, ["__doc", "__row", "__k"], "left").select(
+        "__doc", "__row", (F.col("__k") + inside).alias("__from"),
+        F.filter("__windows", lambda w, i: i >= inside).alias("__windows"))
+    windows = searched.select("__doc", "__row", "__from", F.posexplode("__windows").alias("__i", "__key")).select(
+        "__doc", "__row", (F.col("__from") + F.col("__i")).alias("__k"), "__key")
+
+    hits = _occurrences(windows, [], "windows")
+    texts = _texts_of(documents, hits, F.lit(LEAST_LINES))
+    mixed = _mixed(texts, "windows")
     later = hits.select("__doc", "__row", F.explode("__hits").alias("__h")).filter("__h.later").select(
         "__doc", "__row", F.col("__h.__k"), F.col("__h.__key"))
     if not mixed.isEmpty():
+        place = F.struct("__doc", "__k", "__row")
         told = texts.join(mixed, "__key")
         firsts = told.groupBy("__key", "__t").agg(F.min(place).alias("__first"))
         told = told.join(firsts, ["__key", "__t"]).filter(place != F.col("__first"))
         later = later.join(mixed, "__key", "left_anti").select("__doc", "__row", "__k").union(
             told.select("__doc", "__row", "__k"))
-    covered = F.flatten(F.transform(F.collect_set("__k"), lambda k: F.sequence(k, k + LEAST_LINES - 1)))
-    return cut_lineage(later.groupBy("__doc", "__row").agg(F.array_sort(F.array_distinct(covered)).alias("__gone")),
+    found = copies.unionByName(later.select("__doc", "__row", "__k", F.lit(LEAST_LINES).alias("__n")))
+    covered = F.flatten(F.transform(F.collect_set(F.struct("__k", "__n")),
+                                    lambda x: F.sequence(x["__k"], x["__k"] + x["__n"] - 1)))
+    return cut_lineage(found.groupBy("__doc", "__row").agg(F.array_sort(F.array_distinct(covered)).alias("__gone")),
                        "removed-lines")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataseek.llm.common import buffers, slices
+from strataseek.llm.common import buffers, numbered, slices, without
 from strataseek.llm.sentencepiece_model import BYTE, CONTROL, MARK, MERGES, Model, rebuild
 from strataseek.llm.spans import SpanTable, gather, per_row
 
@@ -110,7 +110,10 @@ def encode_decode(documents: DataFrame, model_file: str, text: str = "text", ids
                   keep_ids: bool = True, threads: int = 1) -> DataFrame:
     """The rows of ``documents`` with ``ids`` (array<int>), ``n_tokens``, ``ids_crc32``, ``parity``
     and ``round_trip``: whether decoding gives the text back (markers in it come back as spaces).
+
+    Columns that have one of these names are replaced.
     """
+    documents = without(documents, *([ids] if keep_ids else []), "n_tokens", "ids_crc32", "parity", "round_trip")
     added = [T.StructField(ids, T.ArrayType(T.IntegerType()))] if keep_ids else []
     added += [T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType()),
               T.StructField("parity", T.BooleanType()), T.StructField("round_trip", T.BooleanType())]
@@ -119,7 +122,7 @@ def encode_decode(documents: DataFrame, model_file: str, text: str = "text", ids
 
     def run(batches):
         codec = SentencePieceCodec(model_file, threads)
-        for batch in slices(batches, text):
+        for batch in slices(batches, f"c{place}"):
             column = batch.column(place)
             data, offsets = buffers(column)
             found, counts, parity = codec.encode(data, offsets)
@@ -135,7 +138,7 @@ def encode_decode(documents: DataFrame, model_file: str, text: str = "text", ids
             new += [pa.array(counts), pa.array(sums, pa.int64()), pa.array(parity), pa.array(trip, pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=schema.names)
 
-    return documents.mapInArrow(run, schema)
+    return numbered(documents).mapInArrow(run, schema)
 
 
 def token_report(documents: DataFrame, model_file: str) -> DataFrame:

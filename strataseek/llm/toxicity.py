@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataseek.llm.common import buffers, cut_lineage, gram_hashes, mix, slices, span_hashes, with_bytes, word_spans
+from strataseek.llm.common import buffers, cut_lineage, gram_hashes, mix, numbered, slices, span_hashes, \
+    with_bytes, without, word_spans
 
 BITS = 20
 STEM = 4
@@ -135,7 +136,8 @@ def train(documents: DataFrame, labels: DataFrame, bits: int = BITS) -> DataFram
 
 def score(documents: DataFrame, model: DataFrame, text: str = "text", column: str = "score",
           bits: int = BITS) -> DataFrame:
-    """The rows with ``column``: the probability that the text is toxic."""
+    """The rows with ``column``: the probability that the text is toxic. A column of that name is replaced."""
+    documents = without(documents, column)
     rows = model.toArrow()  # at most 2 ** bits rows
     table = np.zeros((1 << bits) + 1, np.float32)
     table[rows.column("place").to_numpy()] = rows.column("weight").to_numpy()
@@ -145,7 +147,7 @@ def score(documents: DataFrame, model: DataFrame, text: str = "text", column: st
 
     def run(batches):
         weights = np.frombuffer(shared.value, np.float32)
-        for batch in slices(batches, text):
+        for batch in slices(batches, f"c{place_of}"):
             rows, places = features(*buffers(batch.column(place_of)), bits)
             useful = weights[places] != 0
             pairs = np.unique(rows[useful].astype(np.int64) << 32 | places[useful])
@@ -154,7 +156,7 @@ def score(documents: DataFrame, model: DataFrame, text: str = "text", column: st
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(1.0 / (1.0 + np.exp(-np.clip(total, -35, 35))))], names=schema.names)
 
-    return documents.mapInArrow(run, schema)
+    return numbered(documents).mapInArrow(run, schema)
 
 
 def toxicity_report(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -80,7 +80,7 @@ def test_pipeline_stages(spark):
     before, after = kept["line dedup"]
     con = duckdb.connect()
     con.register("documents", before.toArrow())
-    expected = {r[0]: r[3] for r in con.execute(line_dedup.ORACLE).fetchall()}
+    expected = {r[0]: r[3] for r in con.execute(line_dedup.RUNS_ORACLE).fetchall()}
     got = {r["doc_id"]: r["m"] for r in after.select("doc_id", F.md5(F.col("text").cast("binary")).alias("m")).collect()}
     assert got == expected and after.filter("n_chars != length(text)").count() == 0
 
