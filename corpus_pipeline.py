@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataseek.llm.common import free_name
 from strataseek.llm.decontamination import decontaminate
 from strataseek.llm.jaccard_join import keep_first
-from strataseek.llm.line_dedup import dedup_lines
+from strataseek.llm.line_dedup import dedup_runs
 from strataseek.llm.queries import tokenizer_file
 from strataseek.llm.sentencepiece import encode_decode
 from strataseek.llm.toxicity import THRESHOLD, score, train
@@ -22,13 +23,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is scored below the threshold; learned from ``labels``."""
     ship_package(spark)
     model = cut_lineage(train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), "toxicity-model")
-    return score(docs, model, column="__score").filter(F.col("__score") < THRESHOLD).drop("__score")
+    column = free_name(docs, "__score")
+    return score(docs, model, column=column).filter(F.col(column) < THRESHOLD).drop(column)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the later copies of multi-line chunks that repeat."""
+    """All documents, without the runs of two or more lines that stand earlier."""
     ship_package(spark)
-    kept = dedup_lines(docs).drop("lines_removed")
+    kept = dedup_runs(docs).select(*[f"`{c}`" for c in docs.columns])
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
