@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ _tables: dict[tuple[str, str, str], DataFrame] = {}
 
 # Features, papers and feed entries per landed file record.
 PAGE_ROWS = 500
+# Landed paper files of one folder, on average, and folders whose rows one task writes.
+FOLDER_FILES, TASK_FOLDERS = 1000, 8
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
@@ -83,14 +87,50 @@ def state_wkt(spark: SparkSession, sf_dir: str) -> str:
 
 
 def paper_files(spark: SparkSession, sf_dir: str) -> str:
-    """One text file per document, in a folder that carries the file name."""
+    """One text file per document, called ``file_name=<its name>.txt``.
+
+    Files are written by the tasks that hold their rows, in folders of about ``FOLDER_FILES``, so
+    listing them takes a task a folder, not a task a file. Rows of one name share a file.
+    """
     def write(path: str) -> None:
-        docs = fx.bronze_papers(spark, sf_dir).select("file_name", "raw_content")
-        (docs.repartition("file_name").write.partitionBy("file_name").text(path))
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        uri = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toUri().toString()
+        name = F.coalesce("file_name", F.lit("__HIVE_DEFAULT_PARTITION__"))
+        docs = fx.bronze_papers(spark, sf_dir).select(name.alias("file_name"), "raw_content")
+        folders = max(1, -(-docs.count() // FOLDER_FILES))
+        folder = F.pmod(F.xxhash64("file_name"), F.lit(folders)).cast("int")
+        # a fixed number of tasks: few bytes are many files, and adaptive execution counts bytes
+        tasks = max(spark.sparkContext.defaultParallelism, -(-folders // TASK_FOLDERS))
+        (docs.withColumn("folder", folder).repartition(tasks, "file_name")
+         .sortWithinPartitions("file_name").mapInArrow(_write_files(uri), "files long").agg(F.sum("files")).collect())
 
     return landed(spark, sf_dir, "paper-files", write)
 
 
+def _write_files(uri: str):
+    """Write the rows of each name, which follow one another, as the lines of one file."""
+    def run(batches):
+        system, root = pa.fs.FileSystem.from_uri(uri)
+        made, last, out, folders = 0, None, None, set()
+        for batch in batches:
+            names, texts, places = (batch.column(c).to_pylist() for c in ("file_name", "raw_content", "folder"))
+            for name, text, place in zip(names, texts, places):
+                if name != last:
+                    if out is not None:
+                        out.close()
+                    if place not in folders:
+                        system.create_dir(f"{root}/{place:06d}")
+                        folders.add(place)
+                    out = system.open_output_stream(f"{root}/{place:06d}/file_name={name}.txt")
+                    made, last = made + 1, name
+                out.write(((text or "") + "\n").encode())
+        if out is not None:
+            out.close()
+        yield pa.RecordBatch.from_pydict({"files": [made]})
+
+    return run
+
+
 def paper_responses(spark: SparkSession, sf_dir: str) -> str:
     """Documents as search responses of PAGE_ROWS papers, some fields missing."""
     def write(path: str) -> None:

@@ -185,11 +185,15 @@ def src_boundary_wkt(spark, sf_dir):
                        geo.rings_wkt(geo.st_rings("geometry_wkt")).alias("geometry"))
 
 
+def _landed_name(path: str) -> Column:
+    return F.regexp_extract(path, r"file_name=([^/]*)\.txt$", 1).alias("file_name")
+
+
 @query
 def src_binary_files(spark, sf_dir):
     found = files.read_binary_files(spark, landing.paper_files(spark, sf_dir), "*.txt")
     return found.select(
-        F.regexp_extract("path", "file_name=([^/]*)/", 1).alias("file_name"),
+        _landed_name("path"),
         F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("content_hash"))
 
 
@@ -197,7 +201,7 @@ def src_binary_files(spark, sf_dir):
 def src_file_inventory(spark, sf_dir):
     found = files.file_inventory(spark, landing.paper_files(spark, sf_dir), (".txt", ".html"))
     return found.select(
-        F.regexp_extract("file_path", "file_name=([^/]*)/", 1).alias("file_name"),
+        _landed_name("file_path"),
         "size_bytes", "size_mb")
 
 
@@ -205,7 +209,7 @@ def src_file_inventory(spark, sf_dir):
 def src_wholetext(spark, sf_dir):
     read = files.read_whole_text(spark, landing.paper_files(spark, sf_dir))
     return read.select(
-        F.regexp_extract("file_path", "file_name=([^/]*)/", 1).alias("file_name"),
+        _landed_name("file_path"),
         F.regexp_replace("raw_content", r"\n\z", "").alias("raw_content"))
 
 
