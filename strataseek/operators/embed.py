@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf, pandas_udf
 
 from strataseek.functions.vectors import hashing_embedding, is_zero_vector, token_embedding
 
@@ -59,20 +60,21 @@ def extract_with(df: DataFrame, load_model: Callable[[], Callable[[list[str]], l
                  text: str, out: str, batch_texts: int = BATCH_TEXTS) -> DataFrame:
     """Text-to-text hook (for example abstract extraction by a hosted model);
     a failed call gives null for its batch."""
-    @pandas_udf("string")
-    def extract(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @arrow_udf("string")
+    def extract(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load_model()
         for texts in batches:
+            # only the texts of one call are Python objects, however many rows a batch holds
             result = []
             for start in range(0, len(texts), batch_texts):
-                part = texts.iloc[start:start + batch_texts].fillna("").tolist()
+                part = [t or "" for t in texts.slice(start, batch_texts).to_pylist()]
                 try:
                     answers = list(model(part))
                     if len(answers) != len(part):
                         answers = [None] * len(part)
                 except Exception:
                     answers = [None] * len(part)
-                result += answers
-            yield pd.Series(result, dtype=object)
+                result.append(pa.array(answers, pa.string()))
+            yield pa.concat_arrays(result) if result else pa.array([], pa.string())
 
     return df.withColumn(out, extract(F.col(text)))
