@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from strataseek.functions.geo import let
 from strataseek.functions.text import tokens
@@ -27,19 +31,23 @@ def hashing_embedding(text: Column | str, dim: int = 64) -> Column:
 
 
 def token_embedding(token_list: Column | str, dim: int = 64) -> Column:
-    """:func:`hashing_embedding` of text that is already split into tokens."""
-    def scaled(counts: Column) -> Column:
-        return let(
-            F.sqrt(F.aggregate(counts, F.lit(0.0), lambda s, c: s + c * c)),
-            lambda norm: F.transform(counts, lambda c: F.when(norm > 0, c / norm).otherwise(0.0)))
-
-    def counted(buckets: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(dim - 1)),
-            lambda b: (F.size(buckets) - F.size(F.array_remove(buckets, b))).cast("double"))
-
-    buckets = F.transform(_column(token_list), lambda t: token_bucket(t, dim))
-    return let(let(buckets, counted), scaled)
+    """:func:`hashing_embedding` of text that is already split into tokens.
+
+    Tokens get their bucket in the JVM; the buckets of an Arrow batch are counted in one pass, whatever ``dim`` is.
+    """
+    @arrow_udf("array<double>")
+    def unit_counts(buckets: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(buckets), 0).to_numpy(zero_copy_only=False)
+        owner, held = np.repeat(np.arange(len(buckets)), sizes), pc.list_flatten(buckets)
+        if held.null_count:
+            owner, held = owner[held.is_valid().to_numpy(zero_copy_only=False)], held.drop_null()
+        cells = owner * dim + held.to_numpy()
+        counts = np.bincount(cells, minlength=len(buckets) * dim).reshape(-1, dim).astype(np.float64)
+        norm = np.sqrt(np.einsum("ij,ij->i", counts, counts))
+        counts /= np.where(norm > 0, norm, 1.0)[:, None]
+        return pa.ListArray.from_arrays(np.arange(0, counts.size + 1, dim, dtype=np.int32), counts.ravel())
+
+    return unit_counts(F.transform(_column(token_list), lambda t: token_bucket(t, dim)))
 
 
 def is_zero_vector(vector: Column | str) -> Column:
