@@ -29,6 +29,8 @@ B = 0.75
 # Size of the (term, query) weight matrix that may be sent to the tasks; above it
 # terms are joined.
 MAX_WEIGHTS = 8_000_000
+# A term that more than one of so many queries hold is scored by a matrix product.
+DENSE_SHARE = 16
 # Up to this many query terms, tokens are filtered before they go to Python.
 FEW_TERMS = 200
 
@@ -66,6 +68,46 @@ class TermScan:
     hits: Column | None = None
 
 
+class _TermWeights:
+    """The weights of a query batch, by term: a term of few queries meets only these.
+
+    Terms in more than one of ``DENSE_SHARE`` queries are columns of a matrix; the others are lists, so the work
+    follows the terms found in the rows and the queries that ask for them, not all terms times all queries.
+    """
+
+    def __init__(self, idf: np.ndarray, asked: np.ndarray, queries: int):
+        asked = asked[np.argsort(asked[:, 0], kind="stable")]
+        sizes = np.bincount(asked[:, 0], minlength=len(idf))
+        dense = sizes * DENSE_SHARE > queries
+        self.idf, self.queries, self.query = idf, queries, asked[:, 1]
+        self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
+        self.place = np.where(dense, np.cumsum(dense) - 1, -1)
+        self.matrix = np.zeros((int(dense.sum()), queries))
+        common = dense[asked[:, 0]]
+        self.matrix[self.place[asked[common, 0]], asked[common, 1]] = idf[asked[common, 0]]
+        self.cells_per_row = max(len(self.matrix), queries)
+
+    def scores(self, rows: int, row: np.ndarray, term: np.ndarray, gain: np.ndarray) -> np.ndarray:
+        """Rows times queries, from the terms found: the row, the term and what one occurrence list of it is worth."""
+        common = self.place[term] >= 0
+        found = np.zeros((rows, len(self.matrix)))
+        found[row[common], self.place[term[common]]] = gain[common]
+        total = found @ self.matrix
+        flat, rare = total.ravel(), np.flatnonzero(~common)
+        ends = np.cumsum(self.sizes[term[rare]])
+        low = 0
+        while low < len(rare):  # so many pairs at a time that they stay as small as the matrix
+            high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + total.size, side="right")))
+            at = rare[low:high]
+            sizes = self.sizes[term[at]]
+            entry = np.repeat(np.arange(len(at)), sizes)
+            nth = np.arange(len(entry)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            pair = row[at][entry] * self.queries + self.query[self.starts[term[at]][entry] + nth]
+            flat += np.bincount(pair, (gain[at] * self.idf[term[at]])[entry], total.size)
+            low = high
+        return total
+
+
 def bm25_scan(rows: DataFrame, queries: DataFrame, key: str = "chunk_id", query_id: str = "query_id",
               query_text: str = "query", lexicon: DataFrame | None = None,
               size: tuple[int, float] | None = None, k1: float = K1, b: float = B) -> TermScan | None:
@@ -83,13 +125,11 @@ def bm25_scan(rows: DataFrame, queries: DataFrame, key: str = "chunk_id", query_
     df = {r.term: r.df for r in known.collect()}
     vocabulary = [t for t in terms if t in df]
     number = {t: i for i, t in enumerate(vocabulary)}
-    weights = np.zeros((len(vocabulary), len(wanted)))
-    for q, r in enumerate(wanted):
-        for t in r.terms or []:
-            if t in number:
-                weights[number[t], q] = math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5))
     width = len(vocabulary)
     lookup = pa.array(vocabulary, type=pa.string())
+    asked = [(number[t], q) for q, r in enumerate(wanted) for t in r.terms or [] if t in number]
+    scored = _TermWeights(np.array([math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) for t in vocabulary]),
+                          np.array(asked, np.int64).reshape(-1, 2), len(wanted))
 
     def scorer(batch: pa.RecordBatch):
         lists, lengths = batch.column(1), batch.column(2).to_numpy()
@@ -97,16 +137,15 @@ def bm25_scan(rows: DataFrame, queries: DataFrame, key: str = "chunk_id", query_
         owner = np.repeat(np.arange(len(lengths)), np.diff(lists.offsets.to_numpy()))
         hit = found.is_valid().to_numpy(zero_copy_only=False)
         owner, term = owner[hit], found.drop_null().to_numpy()
-        every = np.arange(weights.shape[1])
-        for part in blocks(len(lengths), max(width, weights.shape[1])):
+        every = np.arange(len(wanted))
+        for part in blocks(len(lengths), scored.cells_per_row):
             low, high = np.searchsorted(owner, [part[0], part[-1] + 1])
             cells = (owner[low:high] - part[0]) * width + term[low:high]
-            # term frequency and gain only where a term occurs, then one matrix product
+            # term frequency and gain only where a term occurs
             used, tf = np.unique(cells, return_counts=True)
+            row, which = np.divmod(used, max(width, 1))
             damp = k1 * (1 - b + b * lengths[part] / average)
-            gain = np.zeros(len(part) * width)
-            gain[used] = tf * (k1 + 1) / (tf + damp[used // width])
-            scores = gain.reshape(len(part), width) @ weights
+            scores = scored.scores(len(part), row, which, tf * (k1 + 1) / (tf + damp[row]))
             yield part, every, np.where(scores > 0, scores, np.nan)
 
     # with few terms only the tokens that can score leave the JVM

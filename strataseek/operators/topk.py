@@ -49,6 +49,11 @@ def significant_column(x: Column, digits: int = SCORE_DIGITS) -> Column:
     return F.when(x == 0, x).otherwise(F.rint(x * scale) / scale)
 
 
+def _below(limit: np.ndarray) -> np.ndarray:
+    """The limit less what rounding to significant digits can add to a score."""
+    return limit - np.where(np.isfinite(limit), np.abs(limit) * 10.0 ** (1 - SCORE_DIGITS), 0.0)
+
+
 class BestRows:
     """Running top-k of all queries: greatest score first, then smallest key."""
 
@@ -74,12 +79,17 @@ class BestRows:
     def offer_matrix(self, batch: pa.RecordBatch, rows: np.ndarray, queries: np.ndarray,
                      scores: np.ndarray, refine: Refiner | None, other: np.ndarray | None = None) -> None:
         """All queries of a block at once: only rows that can be among the best are ordered."""
-        scores = np.where(np.isfinite(scores), scores, -np.inf)
         limit = self.floor[queries]
-        if len(rows) > self.k:
-            limit = np.maximum(limit, np.partition(scores, len(rows) - self.k, axis=0)[len(rows) - self.k])
-        slack = np.where(np.isfinite(limit), np.abs(limit) * 10.0 ** (1 - SCORE_DIGITS), 0.0)
-        row, column = np.nonzero((scores >= limit - slack) & (scores > -np.inf))
+        near = scores >= _below(limit)
+        crowded = np.flatnonzero(near.sum(0) > self.k)
+        if len(crowded):  # more rows reach the floor than can stay: raise it to the k-th of the block
+            own = scores[:, crowded]
+            own = np.where(np.isfinite(own), own, -np.inf)
+            least = np.partition(own, len(rows) - self.k, axis=0)[len(rows) - self.k]
+            near[:, crowded] = own >= _below(np.maximum(limit[crowded], least))
+        row, column = np.nonzero(near)
+        finite = np.isfinite(scores[row, column])
+        row, column = row[finite], column[finite]
         if len(row):
             found = scores[row, column] if refine is None else refine(batch, rows[row], queries[column])
             self.offer(queries[column], significant(found), batch.column(0).take(pa.array(rows[row])),
