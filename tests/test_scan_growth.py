@@ -7,9 +7,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import plan_of
-from strataseek.functions import vectors
+from strataseek.functions import geo, vectors
+from strataseek.functions.sql import register_sql_functions
+from strataseek.operators import nearest_polygons as nearest_module
 from strataseek.operators.fulltext import bm25_joined, bm25_scan, bm25_top_k, with_tokens
 from strataseek.operators.topk import BestRows
 
@@ -68,3 +71,22 @@ def test_best_rows_of_blocks_with_ties_and_gaps():
         best.offer_matrix(batch, np.arange(50), np.arange(4), scores[low:low + 50], None)
     want = [(q, k) for q in range(4) for _, k in sorted((-s, k) for k, s in enumerate(scores[:, q]) if np.isfinite(s))[:6]]
     assert list(zip(best.held["query"].to_pylist(), best.held["key"].to_pylist())) == want
+
+
+def test_distances_of_a_batch_of_pairs(spark):
+    random = np.random.default_rng(7)
+    shapes = ["POLYGON((0 0,4 0,4 4,0 4,0 0))", "POLYGON((0 0,10 0,10 10,0 10,0 0),(2 2,8 2,8 8,2 8,2 2))", "POLYGON EMPTY",
+              "MULTIPOLYGON(((0 0,1 0,1 1,0 1,0 0)),((5 5,6 5,6 7,5 5)))", "POLYGON((1 1,1 1,1 1,1 1))", "POLYGON((0 0,1e999 0,1 1,0 0))"]
+    places = [(float(x), float(y)) for x, y in [*np.round(random.uniform(-2, 12, (60, 2)), 1), (4, 2), (1, 1), (0, 0), (np.inf, 1), (5, -np.inf)]]
+    points = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(places)], "id int, px double, py double")
+    pairs = points.crossJoin(spark.createDataFrame([(s,) for s in shapes], "wkt string")).withColumn("edges", geo.st_edges(geo.st_rings("wkt")))
+    both = pairs.select("id", "wkt", nearest_module._distances("edges", "px", "py").alias("a"), geo.edges_distance("edges", "px", "py").alias("b"))
+    assert both.count() == len(places) * len(shapes)
+    assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).collect() == []
+
+
+def test_sql_functions_parse_a_polygon_once(spark):
+    register_sql_functions(spark)
+    rows = spark.createDataFrame([("POLYGON((0 0,4 0,4 4,0 4,0 0))", "POINT(1 1)")], "w string, p string").repartition(1)
+    for name in ("st_contains", "st_intersects", "st_distance_polygon"):
+        assert plan_of(rows.select(F.expr(f"{name}(w, p)"))).count("forall(regexp_extract_all") <= 1
