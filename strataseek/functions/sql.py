@@ -45,10 +45,11 @@ _FUNCTIONS: list[tuple[str, str, str, str]] = [
      r"regexp_extract_all(wkt, '(\\(*)\\(([^()]*)\\)', 2), (open, body) -> named_struct("
      "'exterior', length(open) > 0, 'points', transform(split(body, ','), c -> named_struct("
      "'x', CAST(split(c, ' ')[0] AS DOUBLE), 'y', CAST(split(c, ' ')[1] AS DOUBLE))))) END"),
-    ("geo_rings", "wkt STRING", _RINGS,
-     "CASE WHEN forall(geo_ring_list(geo_tidy(wkt)), r -> size(r.points) >= 4 AND "
-     "element_at(r.points, 1) = element_at(r.points, -1)) "
-     "THEN geo_ring_list(geo_tidy(wkt)) END"),
+    # what a function uses twice is a parameter of a helper, which Spark evaluates once
+    ("geo_closed", f"rings {_RINGS}", _RINGS,
+     "CASE WHEN forall(rings, r -> size(r.points) >= 4 AND "
+     "element_at(r.points, 1) = element_at(r.points, -1)) THEN rings END"),
+    ("geo_rings", "wkt STRING", _RINGS, "geo_closed(geo_ring_list(geo_tidy(wkt)))"),
     ("geo_edges", f"rings {_RINGS}", _EDGES,
      "flatten(transform(rings, r -> zip_with(slice(r.points, 1, size(r.points) - 1), "
      "slice(r.points, 2, size(r.points) - 1), (a, b) -> "
@@ -91,21 +92,22 @@ _FUNCTIONS: list[tuple[str, str, str, str]] = [
     ("st_area", "geometry STRING", "DOUBLE", "geo_total(geo_moments(geo_rings(geometry))).a"),
     ("st_centroid", "geometry STRING", "STRING",
      "geo_centre(geo_total(geo_moments(geo_rings(geometry))))"),
+    ("geo_inside", f"edges {_EDGES}, p {_POINT}", "BOOLEAN", "geo_odd(edges, p) AND NOT geo_on_edge(edges, p)"),
+    ("geo_touch", f"edges {_EDGES}, p {_POINT}", "BOOLEAN", "geo_odd(edges, p) OR geo_on_edge(edges, p)"),
     ("st_contains", "polygon STRING, point STRING", "BOOLEAN",
-     "geo_odd(geo_edges(geo_rings(polygon)), geo_point(point)) AND "
-     "NOT geo_on_edge(geo_edges(geo_rings(polygon)), geo_point(point))"),
+     "geo_inside(geo_edges(geo_rings(polygon)), geo_point(point))"),
     ("st_within", "point STRING, polygon STRING", "BOOLEAN", "st_contains(polygon, point)"),
     ("st_intersects", "polygon STRING, point STRING", "BOOLEAN",
-     "geo_odd(geo_edges(geo_rings(polygon)), geo_point(point)) OR "
-     "geo_on_edge(geo_edges(geo_rings(polygon)), geo_point(point))"),
-    ("st_distance", "a STRING, b STRING", "DOUBLE",
-     "sqrt(pow(st_x(a) - st_x(b), 2) + pow(st_y(a) - st_y(b), 2))"),
+     "geo_touch(geo_edges(geo_rings(polygon)), geo_point(point))"),
+    ("geo_apart", f"p {_POINT}, q {_POINT}", "DOUBLE", "sqrt(pow(p.x - q.x, 2) + pow(p.y - q.y, 2))"),
+    ("st_distance", "a STRING, b STRING", "DOUBLE", "geo_apart(geo_point(a), geo_point(b))"),
     ("geo_gap", f"edges {_EDGES}, p {_POINT}", "DOUBLE",
      "sqrt(array_min(transform(transform(edges, e -> named_struct('e', e, 't', greatest(0D, least(1D, coalesce(try_divide("
      "(p.x - e.x1) * (e.x2 - e.x1) + (p.y - e.y1) * (e.y2 - e.y1), pow(e.x2 - e.x1, 2) + pow(e.y2 - e.y1, 2)), 0D))))), "
      "s -> pow(p.x - (s.e.x1 + s.t * (s.e.x2 - s.e.x1)), 2) + pow(p.y - (s.e.y1 + s.t * (s.e.y2 - s.e.y1)), 2))))"),
+    ("geo_reach", f"edges {_EDGES}, p {_POINT}", "DOUBLE", "CASE WHEN geo_touch(edges, p) THEN 0D ELSE geo_gap(edges, p) END"),
     ("st_distance_polygon", "polygon STRING, point STRING", "DOUBLE",
-     "CASE WHEN st_intersects(polygon, point) THEN 0D ELSE geo_gap(geo_edges(geo_rings(polygon)), geo_point(point)) END"),
+     "geo_reach(geo_edges(geo_rings(polygon)), geo_point(point))"),
     ("st_distance_sphere", "a STRING, b STRING", "DOUBLE",
      f"{2 * EARTH_RADIUS_M}D * asin(least(1D, sqrt("
      "pow(sin(radians(st_y(b) - st_y(a)) / 2), 2) + cos(radians(st_y(a))) "
