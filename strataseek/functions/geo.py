@@ -39,11 +39,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def number_text(value: Column | str) -> Column:
     """Shortest plain decimal text: no trailing ``.0`` and no exponent."""
-    v = _column(value).cast("double") + 0.0  # -0.0 becomes 0.0
-    text = v.cast("string")
-    wide = F.regexp_replace(v.cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
-    short = F.rtrim(F.replace(F.concat(text, F.lit(" ")), F.lit(".0 "), F.lit(" ")))
-    return F.when(F.contains(text, F.lit("E")), wide).otherwise(short)
+    def written(v: Column) -> Column:
+        wide = F.regexp_replace(v.cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+        return let(v.cast("string"), lambda text: F.when(F.contains(text, F.lit("E")), wide).otherwise(
+            F.rtrim(F.replace(F.concat(text, F.lit(" ")), F.lit(".0 "), F.lit(" ")))))
+
+    return let(_column(value).cast("double") + 0.0, written)  # -0.0 becomes 0.0
 
 
 def st_point(x: Column | str, y: Column | str) -> Column:
@@ -104,8 +105,8 @@ def _tidy(wkt: Column) -> Column:
 def _ring_points(body: Column) -> Column:
     return F.transform(
         F.split(body, ","),
-        lambda c: F.struct(F.split(c, " ")[0].cast("double").alias("x"),
-                           F.split(c, " ")[1].cast("double").alias("y")))
+        lambda c: let(F.split(c, " "), lambda xy: F.struct(xy[0].cast("double").alias("x"),
+                                                           xy[1].cast("double").alias("y"))))
 
 
 def st_rings(wkt: Column | str) -> Column:
@@ -116,16 +117,19 @@ def st_rings(wkt: Column | str) -> Column:
     have at least four points. ``EMPTY`` gives an empty array.
     """
     def parsed(text: Column) -> Column:
-        skeleton = F.regexp_replace(text, r"\([^()]*\)", "#")
-        shaped = skeleton.rlike(_POLYGON_SHAPE) | skeleton.rlike(_MULTIPOLYGON_SHAPE)
-        bodies = F.regexp_extract_all(text, F.lit(_RING), F.lit(2))
         roles = F.regexp_extract_all(text, F.lit(_RING), F.lit(1))
-        sound = F.forall(bodies, lambda b: F.forall(
-            F.split(b, ","), lambda c: c.rlike(_COORDINATE)))
-        rings = F.zip_with(roles, bodies, lambda r, b: F.struct(
-            (F.length(r) > 0).alias("exterior"), _ring_points(b).alias("points")))
-        return (F.when(text.rlike(_EMPTY_SHAPE), F.slice(rings, 1, 0))
-                .when(shaped & sound, rings))
+        shaped = let(F.regexp_replace(text, r"\([^()]*\)", "#"),
+                     lambda skeleton: skeleton.rlike(_POLYGON_SHAPE) | skeleton.rlike(_MULTIPOLYGON_SHAPE))
+
+        def rings(bodies: Column) -> Column:
+            sound = F.forall(bodies, lambda b: F.forall(
+                F.split(b, ","), lambda c: c.rlike(_COORDINATE)))
+            made = F.zip_with(roles, bodies, lambda r, b: F.struct(
+                (F.length(r) > 0).alias("exterior"), _ring_points(b).alias("points")))
+            return (F.when(text.rlike(_EMPTY_SHAPE), F.slice(made, 1, 0))
+                    .when(shaped & sound, made))
+
+        return let(F.regexp_extract_all(text, F.lit(_RING), F.lit(2)), rings)
 
     def closed(rings: Column) -> Column:
         return F.when(F.forall(rings, lambda r: (F.size(r["points"]) >= 4) & (
