@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
@@ -21,10 +22,10 @@ from strataseek.session import cut_lineage, has_work_folder
 
 # Read tasks for each core, and splits of a task at most, when there are many small files.
 TASKS_A_CORE, TASK_SPLITS = 8, 16
-# Folders that one task lists, on average.
-TASK_FOLDERS = 8
-# Rows of a batch of the list.
-_LIST_ROWS = 10_000
+# Folders that one task lists, and files and bytes that one task reads, on average.
+TASK_FOLDERS, TASK_FILES, TASK_BYTES = 8, 10_000, 128 << 20
+# Rows of a batch of the list, and bytes of file content that a task holds before it hands them on.
+_LIST_ROWS, _HELD_BYTES = 10_000, 8 << 20
 _LISTED = "place string, path string, uri string, modificationTime timestamp, length long, folder boolean"
 
 
@@ -116,10 +117,36 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame | N
     return reduce(DataFrame.unionByName, levels).filter(~F.col("folder") & _name_matches(spark, glob)).drop("folder")
 
 
+def _with_content(files: DataFrame, root: str) -> DataFrame:
+    """The bytes of each file as ``content``, read only where that column is used."""
+    @F.arrow_udf("binary")
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        system, _ = pa.fs.FileSystem.from_uri(root)
+        for places in batches:
+            held, size = [], 0
+            for place in places.to_pylist():
+                with system.open_input_stream(place) as stream:
+                    held.append(stream.read())
+                size += len(held[-1])
+                if size >= _HELD_BYTES:
+                    yield pa.array(held, pa.binary())
+                    held, size = [], 0
+            if held:
+                yield pa.array(held, pa.binary())
+
+    count, size = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-size // TASK_BYTES), -(-count // TASK_FILES), min(count, TASKS_A_CORE * cores))
+    return files.repartition(tasks, "place").withColumn("content", read("place"))
+
+
 def read_binary_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """``path, modificationTime, length, content`` of the files matching ``glob``."""
-    return few_tasks(spark.read.format("binaryFile").option("pathGlobFilter", glob)
-                     .option("recursiveFileLookup", True).load(path))
+    listed = list_files(spark, path, glob)
+    if listed is None:
+        return few_tasks(spark.read.format("binaryFile").option("pathGlobFilter", glob)
+                         .option("recursiveFileLookup", True).load(path))
+    return _with_content(listed, _root(spark, path)[2]).select("path", "modificationTime", "length", "content")
 
 
 def file_inventory(spark: SparkSession, path: str,

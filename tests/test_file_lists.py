@@ -3,6 +3,7 @@
 import pytest
 
 from strataseek.sources import files
+from tests.helpers import plan_of
 
 NAMES = ["a.txt", "b c.txt", "é%41.txt", "empty.txt", ".hid.txt", "_h.txt", "_k=1.txt", "x.txt._COPYING_", "n#1?.txt", "q[1]{2}.txt",
          "deep/er/z.txt", ".hd/a.txt", "_hd/a.txt", "_metadata1/a.txt", "_metadata.txt", "k=v/a.txt", "up.TXT", "page.html"]
@@ -37,3 +38,10 @@ def test_inventory_is_listed_by_tasks(spark, monkeypatch, folder):
     # what tasks cannot list is read as before
     assert files.file_inventory(spark, f"{folder}/a.txt").count() == 1
     assert files.file_inventory(spark, f"{folder}/[ab]*.txt").count() == 2
+
+
+def test_binary_files_are_listed_by_tasks_and_handed_on_in_small_batches(spark, monkeypatch, folder):
+    monkeypatch.setattr(files, "_HELD_BYTES", 20)
+    for glob in ("*", "{a,b c}.t[xy]t", "[!a]*"):
+        listed_by_tasks(spark, monkeypatch, folder, lambda s, p: files.read_binary_files(s, p, glob))
+    assert "arrow" not in plan_of(files.read_binary_files(spark, folder).select("path")).lower()  # not opened for its name
