@@ -26,6 +26,8 @@ TASKS_A_CORE, TASK_SPLITS = 8, 16
 TASK_FOLDERS, TASK_FILES, TASK_BYTES = 8, 10_000, 128 << 20
 # Rows of a batch of the list, and bytes of file content that a task holds before it hands them on.
 _LIST_ROWS, _HELD_BYTES = 10_000, 8 << 20
+# Whole-text files with these endings are decompressed by Spark's reader.
+_CODECS = (".gz", ".bz2", ".deflate", ".snappy", ".lz4", ".zst")
 _LISTED = "place string, path string, uri string, modificationTime timestamp, length long, folder boolean"
 
 
@@ -167,8 +169,18 @@ def file_inventory(spark: SparkSession, path: str,
 
 def read_whole_text(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
     """``file_name, file_path, raw_content`` with one row per file."""
-    return few_tasks(spark.read.option("pathGlobFilter", glob)
-                     .option("recursiveFileLookup", True).text(path, wholetext=True)
-                     .select(F.col("_metadata.file_name").alias("file_name"),
-                             F.col("_metadata.file_path").alias("file_path"),
-                             F.col("value").alias("raw_content")))
+    listed = list_files(spark, path, glob)
+    if listed is None or _compressed(listed):
+        return few_tasks(spark.read.option("pathGlobFilter", glob)
+                         .option("recursiveFileLookup", True).text(path, wholetext=True)
+                         .select(F.col("_metadata.file_name").alias("file_name"),
+                                 F.col("_metadata.file_path").alias("file_path"),
+                                 F.col("value").alias("raw_content")))
+    uri = F.coalesce("uri", F.lit(""))  # never null, and the schema says so
+    return _with_content(listed, _root(spark, path)[2]).select(
+        F.coalesce(F.element_at(F.split(uri, "/"), -1), F.lit("")).alias("file_name"), uri.alias("file_path"),
+        F.col("content").cast("string").alias("raw_content"))
+
+
+def _compressed(files: DataFrame) -> bool:
+    return not files.filter(reduce(Column.__or__, (F.col("path").endswith(end) for end in _CODECS))).isEmpty()

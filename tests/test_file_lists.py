@@ -1,5 +1,7 @@
 """Files listed by tasks: the rows of Spark's readers, and no list on the driver."""
 
+import gzip
+
 import pytest
 
 from strataseek.sources import files
@@ -45,3 +47,14 @@ def test_binary_files_are_listed_by_tasks_and_handed_on_in_small_batches(spark,
     for glob in ("*", "{a,b c}.t[xy]t", "[!a]*"):
         listed_by_tasks(spark, monkeypatch, folder, lambda s, p: files.read_binary_files(s, p, glob))
     assert "arrow" not in plan_of(files.read_binary_files(spark, folder).select("path")).lower()  # not opened for its name
+
+
+def test_whole_texts_are_listed_by_tasks(spark, monkeypatch, folder):
+    for glob in ("*", "?.txt"):
+        listed_by_tasks(spark, monkeypatch, folder, lambda s, p: files.read_whole_text(s, p, glob))
+
+
+def test_compressed_texts_are_still_decompressed(spark, folder):
+    with gzip.open(f"{folder}/z.txt.gz", "wt") as out:
+        out.write("packed")
+    assert "packed" in [r.raw_content for r in files.read_whole_text(spark, folder, "*").select("raw_content").collect()]
