@@ -1,5 +1,6 @@
 """Steps of the stored index that follow its rows: what goes to Python, what is shuffled, what the driver handles."""
 
+import time
 from collections import Counter
 
 import numpy as np
@@ -76,3 +77,14 @@ def test_index_build_counts_terms_in_its_own_blocks_only(spark, tmp_path):
      .write.parquet(f"{tmp_path}/documents.parquet"))
     assert q.all_queries()["index_build"](spark, str(tmp_path)).count() == 20
     assert (spark.sparkContext.applicationId, str(tmp_path), "lexicon") not in landing._tables
+
+
+def test_many_centres_are_kept_as_arrays(spark, tmp_path):
+    random = np.random.default_rng(4)
+    Quantiser.flat(np.eye(2)).save(spark, f"{tmp_path}/first")
+    made = Quantiser(random.normal(size=(300, 64)), random.normal(size=(60_000, 64)), random.integers(0, 300, 60_000))
+    started = time.perf_counter()
+    made.save(spark, f"{tmp_path}/cells")
+    held = Quantiser.load(spark, f"{tmp_path}/cells")
+    assert time.perf_counter() - started < 10
+    assert (held.coarse == made.coarse).all() and (held.centres == made.centres).all() and (held.parents == made.parents).all()
