@@ -88,3 +88,23 @@ def test_many_centres_are_kept_as_arrays(spark, tmp_path):
     held = Quantiser.load(spark, f"{tmp_path}/cells")
     assert time.perf_counter() - started < 10
     assert (held.coarse == made.coarse).all() and (held.centres == made.centres).all() and (held.parents == made.parents).all()
+
+
+def test_only_sums_above_the_floor_are_ordered(monkeypatch):
+    random, ordered, partition = np.random.default_rng(8), [], np.partition
+    docs = [[f"w{w}" for w in random.integers(0, 60, 20)] for _ in range(20_000)]
+    table = pa.table({"chunk_id": [f"k{i:05d}" for i in range(len(docs))], "tokens": docs, "shard": pa.array([0] * len(docs), pa.int32())})
+    shard = block_postings.ShardPostings(block_postings._blocks("chunk_id", 64)(table), 20.0)
+    monkeypatch.setattr(np, "partition", lambda x, *a: ordered.append(len(x)) or partition(x, *a))
+    shard.top_k({f"w{i}": 1.0 + i / 9 for i in range(32)}, 10)
+    assert len(ordered) > 3 and sum(ordered) < len(docs)
+
+
+def test_numbers_of_all_rows_are_not_shuffled_for_few_results(spark):
+    rows = spark.createDataFrame([(f"k{i}", [f"w{i % 7}", "all"]) for i in range(300)], "chunk_id string, tokens array<string>")
+    queries = spark.createDataFrame([(1, "w1 all"), (2, "w3")], "query_id long, query string")
+    blocks, numbers = block_postings.build_blocks(rows, 3), block_postings.shard_numbers(rows, 3)
+    found = block_postings.bm25_blocks(blocks, numbers, queries, block_postings.lexicon_of(blocks), (300, 2.0), 5, shards=3)
+    assert "SortMergeJoin" not in plan_of(found)
+    whole = block_postings.bm25_blocks(blocks, numbers, queries, block_postings.lexicon_of(blocks), (300, 2.0), 5)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect())) and found.count() == 10
